@@ -44,8 +44,8 @@ class HotPolicy:
     """A member with fewer rows than this in every table is not hot. Also the piece size."""
     cell_rows: int = 5_000_000
     """Output rows aimed at per cell."""
-    max_cells: int = 100_000
-    """Most cells made for one member."""
+    max_cells: int = 20_000
+    """Cells wanted for one member at most, and the most partitions of the hot join."""
 
 
 @dataclass(frozen=True)
@@ -123,19 +123,18 @@ def find_hot_members(sides: Mapping[str, DataFrame], policy: HotPolicy | None =
         seen.join(F.broadcast(total), "side")  # one row per side
         .where(F.col("count") * 2 >= least)
         .select(KEY)
-        .distinct()
         .collect()  # at most 2 / share per side
     )
     if not candidates:
         return HotMembers(policy, names)
 
     spark = next(iter(sides.values())).sparkSession
-    wanted = F.broadcast(spark.createDataFrame(candidates, f"{KEY} string"))
+    wanted = F.broadcast(spark.createDataFrame(sorted(set(candidates)), f"{KEY} string"))
     counts: dict[str, dict[str, int]] = {}
     exact = reduce(DataFrame.unionAll, keys).join(wanted, KEY, "left_semi").groupBy("side", KEY).count()
     for row in exact.collect():  # at most one per candidate and side
         counts.setdefault(row[KEY], {})[row["side"]] = row["count"]
-    hot = {m: n for m, n in counts.items() if max(n.values()) >= policy.min_rows}
+    hot = {m: n for m, n in sorted(counts.items()) if max(n.values()) >= policy.min_rows}
     return HotMembers(policy, names, hot)
 
 

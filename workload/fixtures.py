@@ -131,7 +131,7 @@ select case when cast(member_id as int) % 3 = 0 then null else member_id end mem
 from ({CLEANED["defaulters"]}) d""",
     "loans": CLEANED["loans"],
     "accounts": f"""
-select case when cast(member_id as int) % 300 = 0 then '1' else member_id end member_id,
+select case when member_id in ('300', '600', '900') then '1' else member_id end member_id,
   grade, sub_grade, home_ownership, total_high_credit_limit
 from ({CLEANED["accounts"]}) a""",
 }
