@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
-from math import ceil, prod
+from math import prod
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +39,9 @@ class HotPolicy:
     sample: float = 0.001
     """Share of the keys looked at when searching for candidates."""
     share: float = 0.0001
-    """A hot member holds at least this share of one table, so a table has at most 1/share."""
+    """A hot member holds about this share of a table or more, which bounds their number."""
     min_rows: int = 100_000
-    """A member with fewer rows than this in every table is not hot. Also the piece size."""
+    """A member with fewer rows than this in every table is not hot; input rows aimed at per cell."""
     cell_rows: int = 5_000_000
     """Output rows aimed at per cell."""
     max_cells: int = 20_000
@@ -66,7 +66,7 @@ class HotMembers:
     def frame(self, spark: SparkSession) -> DataFrame:
         """One row per hot member: cells, and per side the cuts and the stride of a cut.
 
-        At most ``1 / share`` members per side, hence small enough to broadcast.
+        At most ``2 / share`` members per side, hence small enough to broadcast.
         """
         names = [f"{side}_{what}" for side in self.sides for what in ("cuts", "stride")]
         rows = []
@@ -91,14 +91,16 @@ class HotMembers:
         if not rows.get("defaulters", 1):
             rows = dict.fromkeys(rows, 0)
 
-        most = ceil(1 / self.policy.share)
-        cuts = {s: max(1, min(most, ceil(n / self.policy.min_rows))) for s, n in rows.items()}
         output = prod(max(1, n) for n in rows.values())
-        for side in sorted(rows, key=rows.get, reverse=True):
-            wanted = min(ceil(output / self.policy.cell_rows), self.policy.max_cells)
-            missing = ceil(wanted / prod(cuts.values()))
-            if missing > 1:
-                cuts[side] = max(1, min(rows[side], cuts[side] * missing))
+        enough = max(output // self.policy.cell_rows, max(rows.values()) // self.policy.min_rows)
+        enough = min(enough, self.policy.max_cells)
+        # Halving the largest piece first keeps the copies sent to other cells near their least.
+        cuts = dict.fromkeys(rows, 1)
+        while prod(cuts.values()) < enough:
+            side = max(rows, key=lambda s: rows[s] / cuts[s])
+            if cuts[side] >= rows[side]:
+                break
+            cuts[side] = min(2 * cuts[side], rows[side])
         return cuts
 
 

@@ -186,3 +186,12 @@ def test_each_table_is_shuffled_once(spark, tmp_path, plain_plans):
     assert plan.count("SortMergeJoin") == 4
     assert "other" not in plan and "age#" not in plan
     assert "PushedFilters: [IsNull(member_id)], ReadSchema: struct<member_id:string>" in plan
+
+
+def test_cuts_are_balanced():
+    """Copies stay few: two equally large sides are cut alike, a small one not at all."""
+    counts = {"payments": 1_000_000, "customers": 1, "defaulters": 1, "loans": 1_000_000, "accounts": 40}
+    cuts = HotMembers(HotPolicy(), SIDES)._cuts(counts)
+    assert cuts["payments"] / cuts["loans"] in (0.5, 1, 2)
+    assert cuts["payments"] * cuts["loans"] >= 10_000
+    assert (cuts["customers"], cuts["defaulters"], cuts["accounts"]) == (1, 1, 1)
