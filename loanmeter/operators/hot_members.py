@@ -116,7 +116,7 @@ def find_hot_members(sides: Mapping[str, DataFrame], policy: HotPolicy | None =
         for name, df in sides.items()
     ]
 
-    looked_at = [k.sample(policy.sample, seed=7) for k in keys] if policy.sample < 1 else keys
+    looked_at = [k.sample(fraction=policy.sample, seed=7) for k in keys] if policy.sample < 1 else keys
     seen = reduce(DataFrame.unionAll, looked_at).groupBy("side", KEY).count()
     total = seen.groupBy("side").agg(F.sum("count").alias("total"))
     least = F.greatest(F.lit(policy.min_rows * policy.sample), F.col("total") * policy.share)

@@ -21,9 +21,9 @@ def rows_of(names, rows):
 
 
 def differences(df, db, sql):
-    """Column names, and the rows only one side has."""
+    """Column names of both sides, the rows only one side has, and the number of expected rows."""
     result = db.execute(sql)
     names = [d[0] for d in result.description]
     expected = rows_of(names, result.fetchall())
     found = rows_of(df.columns, (tuple(r) for r in df.collect()))
-    return sorted(df.columns), sorted(names), found - expected, expected - found
+    return sorted(df.columns), sorted(names), found - expected, expected - found, expected.total()
