@@ -150,11 +150,7 @@ def cut_side(df: DataFrame, side: str, hot: DataFrame) -> DataFrame:
     payload = df.columns
     helpers = [f"{side}_cuts", f"{side}_stride", "cells"]
 
-    folded = (
-        df.join(F.broadcast(hot.select(KEY, *helpers)), KEY)
-        .groupBy(*payload, *helpers)
-        .agg(F.count("*").alias("rows"))
-    )
+    folded = fold(df.join(F.broadcast(hot.select(KEY, *helpers)), KEY), "rows")
     # Equal rows spread evenly over the pieces, starting from a piece the content decides.
     placed = folded.withColumn(
         "nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(rows, cuts) - 1))
@@ -175,6 +171,11 @@ def cut_side(df: DataFrame, side: str, hot: DataFrame) -> DataFrame:
     )
 
 
+def fold(df: DataFrame, rows: str) -> DataFrame:
+    """Equal rows become one; the new column ``rows`` says how many there were."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias(rows))
+
+
 def unfold(df: DataFrame, rows: str) -> DataFrame:
     """Repeat each row as often as the column ``rows`` says, and drop that column.
 

@@ -9,18 +9,21 @@ defaulter's own id, so all joins use the defaulter's id plus the condition "has
 table is then shuffled once, and the row multiplication happens inside one stage.
 
 Rows multiply when a member has several rows on several sides. That is the specified result.
+Payments, the side with most rows per member, have few distinct points: once they are shuffled,
+equal ones are folded into one row with a count, and unfolded after the last join. So the sort and
+the row groups a join keeps in memory stay small, even for members with millions of payments.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import and_, mul
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmeter.operators.hot_members import CELL, KEY, HotMembers, cut_side, unfold
+from loanmeter.operators.hot_members import CELL, KEY, HotMembers, cut_side, fold, unfold
 
 PAID = "paid_member"
 OPTIONAL = ("loans", "accounts")
@@ -34,13 +37,13 @@ def join_members(sides: Mapping[str, DataFrame], hot: HotMembers | None = None)
     A joined optional side adds ``has_<side>``.
     """
     if not hot:
-        return _with_null_members(sides, _join(sides, [KEY]))
+        return _with_null_members(sides, _join_cold(sides))
 
     spark = sides["payments"].sparkSession
     members = hot.frame(spark)
     only_ids = F.broadcast(members.select(KEY))
     cold = {name: df.join(only_ids, KEY, "left_anti") for name, df in sides.items()}
-    result = _with_null_members(sides, _join(cold, [KEY]))
+    result = _with_null_members(sides, _join_cold(cold))
     return result.unionByName(_join_hot(sides, hot, members).select(*result.columns))
 
 
@@ -67,6 +70,21 @@ def _join(sides: Mapping[str, DataFrame], on: list[str], cut: bool = False) -> D
     return out.drop(KEY).withColumnRenamed(PAID, KEY)
 
 
+def _join_cold(sides: Mapping[str, DataFrame]) -> DataFrame:
+    if "defaulters" not in sides:
+        return _join(sides, [KEY])
+    # This shuffle is the one the join needs anyway.
+    payments = sides["payments"].where(F.col(KEY).isNotNull()).repartition(KEY)
+    return _unfold(_join({**sides, "payments": fold(payments, "payments_rows")}, [KEY]), ["payments"])
+
+
+def _unfold(joined: DataFrame, folded: Iterable[str]) -> DataFrame:
+    """A joined row stands for all combinations of the rows folded on each side."""
+    counts = [f"{name}_rows" for name in folded]
+    rows = reduce(mul, (F.coalesce(F.col(c), F.lit(1)) for c in counts))
+    return unfold(joined.withColumn("rows", rows).drop(*counts), "rows")
+
+
 def _with_null_members(sides: Mapping[str, DataFrame], joined: DataFrame) -> DataFrame:
     """Add the defaulter rows without a member id: they match nothing, so they skip the joins."""
     if "defaulters" not in sides:
@@ -96,7 +114,4 @@ def _join_hot(sides: Mapping[str, DataFrame], hot: HotMembers, members: DataFram
         flags = members.select(KEY, *(c.alias(name) for name, c in is_cut.items()))
         cut["defaulters"] = cut["defaulters"].join(F.broadcast(flags), KEY)
 
-    out = _join(cut, [KEY, CELL], cut=True)
-    counts = [f"{name}_rows" for name in sides]
-    rows = reduce(mul, (F.coalesce(F.col(c), F.lit(1)) for c in counts))
-    return unfold(out.withColumn("rows", rows).drop(*counts), "rows")
+    return _unfold(_join(cut, [KEY, CELL], cut=True), sides)

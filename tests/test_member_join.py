@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from loanmeter import ScoreTables, score_members
-from loanmeter.operators.hot_members import HotMembers, HotPolicy, find_hot_members, unfold
+from loanmeter.operators.hot_members import HotMembers, HotPolicy, cut_side, find_hot_members, unfold
 from loanmeter.operators.member_join import join_members
 
 SIDES = ("defaulters", "payments", "customers", "loans", "accounts")
@@ -195,3 +195,24 @@ def test_cuts_are_balanced():
     assert cuts["payments"] / cuts["loans"] in (0.5, 1, 2)
     assert cuts["payments"] * cuts["loans"] >= 10_000
     assert (cuts["customers"], cuts["defaulters"], cuts["accounts"]) == (1, 1, 1)
+
+
+def test_cells_do_not_depend_on_row_order(spark):
+    """A task that runs again on rows in another order sends them to the same cells."""
+    rows = [("a", v % 7) for v in range(60)] + [("b", v) for v in range(30)]
+    hot = HotMembers(EAGER, SIDES, {m: {s: 10 for s in SIDES} | {"loans": n} for m, n in (("a", 60), ("b", 30))})
+    found = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "member_id string, loans_value int").repartition(3)
+        found.append(Counter(tuple(r) for r in cut_side(df, "loans", hot.frame(spark)).collect()))
+    assert found[0] == found[1]
+
+
+def test_payments_are_folded_before_the_sort(spark, plain_plans):
+    plan = join_members(frames(spark, EXAMPLE))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    fold = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "payments_value" in line)
+    shuffle = next(i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line)
+    sort = max(i for i, line in enumerate(lines[:fold]) if "Sort [" in line)
+    assert sort < fold < shuffle  # a plan reads from the result down to the scans
+    assert plan.count("Exchange hashpartitioning") == 5

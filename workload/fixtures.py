@@ -6,6 +6,7 @@ The same SQL text runs in Spark and in the SQL oracle. Names in braces are the g
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 GIVEN = ("region", "nation", "customer", "orders", "lineitem")
 
@@ -137,10 +138,21 @@ from ({CLEANED["accounts"]}) a""",
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; its schema is looked up in the file once per process."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run fixture SQL over the given tables."""
     used = [t for t in GIVEN if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(sql, **{t: given(spark, sf_dir, t) for t in used})
 
 
 def as_oracle(sql: str) -> str:
