@@ -101,9 +101,9 @@ def _with_null_members(sides: Mapping[str, DataFrame], joined: DataFrame) -> Dat
 
 def _join_hot(sides: Mapping[str, DataFrame], hot: HotMembers, members: DataFrame) -> DataFrame:
     # Folded rows are few bytes but stand for many. A fixed number of partitions takes the place
-    # of the join's own shuffle and keeps adaptive execution from coalescing the cells.
-    default = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(max(hot.cells, default), hot.policy.max_cells)
+    # of the join's own shuffle and keeps adaptive execution from coalescing the cells. Twice as
+    # many as cells, so that few cells share a partition.
+    parts = min(2 * hot.cells, hot.policy.max_cells)
     cut = {
         name: cut_side(df, name, members).repartition(parts, KEY, CELL)
         for name, df in sides.items()
