@@ -16,7 +16,7 @@ the row groups a join keeps in memory stay small, even for members with millions
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, mul
 
@@ -26,25 +26,53 @@ from pyspark.sql import functions as F
 from loanmeter.operators.hot_members import CELL, KEY, HotMembers, cut_side, fold, unfold
 
 PAID = "paid_member"
+ROWS = "rows"
 OPTIONAL = ("loans", "accounts")
 
 
-def join_members(sides: Mapping[str, DataFrame], hot: HotMembers | None = None) -> DataFrame:
+Finish = Callable[[DataFrame], DataFrame]
+
+
+def join_members(
+    sides: Mapping[str, DataFrame],
+    hot: HotMembers | None = None,
+    finish: Finish = lambda joined: joined,
+    columns: Sequence[str] = (),
+) -> DataFrame:
     """Join the given sides; each has ``member_id`` and columns of its own.
 
     ``payments`` and ``customers`` are required. With ``defaulters`` the result has one or more
     rows per defaulter row and ``member_id`` is NULL where payments or customers lack the member.
     A joined optional side adds ``has_<side>``.
+
+    ``finish`` adds columns to a joined row, and ``columns`` names those to keep. Both are applied
+    before folded rows are unfolded, so the work is done once per distinct row.
     """
-    if not hot:
-        return _with_null_members(sides, _join_cold(sides))
 
-    spark = sides["payments"].sparkSession
-    members = hot.frame(spark)
-    only_ids = F.broadcast(members.select(KEY))
-    cold = {name: df.join(only_ids, KEY, "left_anti") for name, df in sides.items()}
-    result = _with_null_members(sides, _join_cold(cold))
-    return result.unionByName(_join_hot(sides, hot, members).select(*result.columns))
+    def finished(joined: DataFrame) -> DataFrame:
+        done = finish(joined)
+        return done.select(*columns, *({ROWS} & set(done.columns))) if columns else done
+
+    cold = dict(sides)
+    if hot:
+        members = hot.frame(sides["payments"].sparkSession)
+        only_ids = F.broadcast(members.select(KEY))
+        cold = {name: df.join(only_ids, KEY, "left_anti") for name, df in sides.items()}
+
+    if "defaulters" in sides:
+        # This shuffle is the one the join needs anyway.
+        payments = cold["payments"].where(F.col(KEY).isNotNull()).repartition(KEY)
+        joined = _join({**cold, "payments": fold(payments, "payments_rows")}, [KEY])
+        result = _unfold(joined, ["payments"], finished)
+        nobody = _null_members(sides["defaulters"], joined.drop("payments_rows"))
+        result = result.unionByName(finished(nobody))
+    else:
+        result = finished(_join(cold, [KEY]))
+
+    if hot:
+        joined = _unfold(_join_hot(sides, hot, members), sides, finished)
+        result = result.unionByName(joined.select(*result.columns))
+    return result
 
 
 def _join(sides: Mapping[str, DataFrame], on: list[str], cut: bool = False) -> DataFrame:
@@ -70,33 +98,23 @@ def _join(sides: Mapping[str, DataFrame], on: list[str], cut: bool = False) -> D
     return out.drop(KEY).withColumnRenamed(PAID, KEY)
 
 
-def _join_cold(sides: Mapping[str, DataFrame]) -> DataFrame:
-    if "defaulters" not in sides:
-        return _join(sides, [KEY])
-    # This shuffle is the one the join needs anyway.
-    payments = sides["payments"].where(F.col(KEY).isNotNull()).repartition(KEY)
-    return _unfold(_join({**sides, "payments": fold(payments, "payments_rows")}, [KEY]), ["payments"])
-
-
-def _unfold(joined: DataFrame, folded: Iterable[str]) -> DataFrame:
+def _unfold(joined: DataFrame, folded: Iterable[str], finished: Finish) -> DataFrame:
     """A joined row stands for all combinations of the rows folded on each side."""
     counts = [f"{name}_rows" for name in folded]
     rows = reduce(mul, (F.coalesce(F.col(c), F.lit(1)) for c in counts))
-    return unfold(joined.withColumn("rows", rows).drop(*counts), "rows")
+    return unfold(finished(joined.withColumn(ROWS, rows).drop(*counts)), ROWS)
 
 
-def _with_null_members(sides: Mapping[str, DataFrame], joined: DataFrame) -> DataFrame:
-    """Add the defaulter rows without a member id: they match nothing, so they skip the joins."""
-    if "defaulters" not in sides:
-        return joined
-    nobody = sides["defaulters"].where(F.col(KEY).isNull()).drop(KEY)
+def _null_members(defaulters: DataFrame, joined: DataFrame) -> DataFrame:
+    """Defaulter rows without a member id: they match nothing, so they skip the joins."""
+    nobody = defaulters.where(F.col(KEY).isNull()).drop(KEY)
     flags = {f"has_{name}" for name in OPTIONAL}
     missing = {
         f.name: F.lit(False if f.name in flags else None).cast(f.dataType)
         for f in joined.schema
         if f.name not in nobody.columns
     }
-    return joined.unionByName(nobody.withColumns(missing))
+    return nobody.withColumns(missing)
 
 
 def _join_hot(sides: Mapping[str, DataFrame], hot: HotMembers, members: DataFrame) -> DataFrame:
@@ -114,4 +132,4 @@ def _join_hot(sides: Mapping[str, DataFrame], hot: HotMembers, members: DataFram
         flags = members.select(KEY, *(c.alias(name) for name, c in is_cut.items()))
         cut["defaulters"] = cut["defaulters"].join(F.broadcast(flags), KEY)
 
-    return _unfold(_join(cut, [KEY, CELL], cut=True), sides)
+    return _join(cut, [KEY, CELL], cut=True)

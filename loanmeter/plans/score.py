@@ -49,8 +49,8 @@ def payment_points(
 ) -> DataFrame:
     """Payments of known customers with the two payment points."""
     sides = _sides(tables, PAYMENT_SIDES, params)
-    joined = join_members(sides, tables.hot_members(*PAYMENT_SIDES, policy=policy))
-    return joined.select(*PAYMENT_COLUMNS)
+    hot = tables.hot_members(*PAYMENT_SIDES, policy=policy)
+    return join_members(sides, hot, columns=PAYMENT_COLUMNS)
 
 
 def default_points(
@@ -60,8 +60,8 @@ def default_points(
 ) -> DataFrame:
     """Every defaulter row with the payment points of its member and five default points."""
     sides = _sides(tables, DEFAULT_SIDES, params)
-    joined = join_members(sides, tables.hot_members(*DEFAULT_SIDES, policy=policy))
-    return joined.select(*PAYMENT_COLUMNS, *scores.DEFAULT_POINTS)
+    hot = tables.hot_members(*DEFAULT_SIDES, policy=policy)
+    return join_members(sides, hot, columns=(*PAYMENT_COLUMNS, *scores.DEFAULT_POINTS))
 
 
 def financial_points(
@@ -71,12 +71,11 @@ def financial_points(
 ) -> DataFrame:
     """All eleven points, one row per combination of the member's rows."""
     sides = _sides(tables, ALL_SIDES, params)
-    joined = join_members(sides, tables.hot_members(*ALL_SIDES, policy=policy))
-    financial = _financial_points(params)
-    return joined.select(
-        *PAYMENT_COLUMNS,
-        *scores.DEFAULT_POINTS,
-        *(financial[name].alias(name) for name in scores.FINANCIAL_POINTS),
+    return join_members(
+        sides,
+        tables.hot_members(*ALL_SIDES, policy=policy),
+        finish=lambda joined: joined.withColumns(_financial_points(params)),
+        columns=(*PAYMENT_COLUMNS, *scores.DEFAULT_POINTS, *scores.FINANCIAL_POINTS),
     )
 
 
@@ -85,28 +84,8 @@ def score_components(
     params: ScoreParams = ScoreParams(),
     policy: HotPolicy | None = None,
 ) -> DataFrame:
-    """The three weighted components.
-
-    Payment and default points are summed up before the join: one number per row is shuffled.
-    """
-    sides = _sides(tables, ALL_SIDES, params)
-    history = scores.payment_history(*map(F.col, scores.PAYMENT_POINTS))
-    sides["payments"] = sides["payments"].select(
-        "member_id", history.alias("payment_history_pts")
-    )
-    history = scores.defaulters_history(*map(F.col, scores.DEFAULT_POINTS))
-    sides["defaulters"] = sides["defaulters"].select(
-        "member_id", history.alias("defaulters_history_pts")
-    )
-    joined = join_members(sides, tables.hot_members(*ALL_SIDES, policy=policy))
-    health = scores.financial_health(*_financial_points(params).values())
-    return joined.select(
-        "member_id",
-        *PERSON,
-        "payment_history_pts",
-        "defaulters_history_pts",
-        health.alias("financial_health_pts"),
-    )
+    """The three weighted components."""
+    return _scored(tables, params, policy, ("member_id", *PERSON, *scores.COMPONENTS))
 
 
 def loan_scores(
@@ -115,9 +94,7 @@ def loan_scores(
     policy: HotPolicy | None = None,
 ) -> DataFrame:
     """The loan score; NULL when any point is NULL."""
-    components = score_components(tables, params, policy)
-    score = scores.loan_score(*map(F.col, scores.COMPONENTS))
-    return components.select("member_id", *PERSON, score.alias("loan_score"))
+    return _scored(tables, params, policy, ("member_id", *PERSON, "loan_score"))
 
 
 def score_members(
@@ -126,8 +103,34 @@ def score_members(
     policy: HotPolicy | None = None,
 ) -> DataFrame:
     """The loan score with its letter grade: the table to publish."""
-    grade = scores.final_grade(F.col("loan_score"), params)
-    return loan_scores(tables, params, policy).withColumn("loan_final_grade", grade)
+    columns = ("member_id", *PERSON, "loan_score", "loan_final_grade")
+    return _scored(tables, params, policy, columns)
+
+
+def _scored(
+    tables: ScoreTables, params: ScoreParams, policy: HotPolicy | None, columns: tuple[str, ...]
+) -> DataFrame:
+    """Join and score; columns nobody asked for are pruned.
+
+    Payment and default points are summed up before the join: one number per row is shuffled.
+    """
+    sides = _sides(tables, ALL_SIDES, params)
+    payment = scores.payment_history(*map(F.col, scores.PAYMENT_POINTS))
+    default = scores.defaulters_history(*map(F.col, scores.DEFAULT_POINTS))
+    sides["payments"] = sides["payments"].select("member_id", payment.alias("payment_history_pts"))
+    sides["defaulters"] = sides["defaulters"].select("member_id", default.alias("defaulters_history_pts"))
+
+    def finish(joined: DataFrame) -> DataFrame:
+        health = scores.financial_health(*_financial_points(params).values())
+        score = scores.loan_score(*map(F.col, scores.COMPONENTS))
+        grade = scores.final_grade(F.col("loan_score"), params)
+        return (
+            joined.withColumn("financial_health_pts", health)
+            .withColumn("loan_score", score)
+            .withColumn("loan_final_grade", grade)
+        )
+
+    return join_members(sides, tables.hot_members(*ALL_SIDES, policy=policy), finish, columns)
 
 
 def _sides(tables: ScoreTables, names: tuple[str, ...], params: ScoreParams) -> dict[str, DataFrame]:
