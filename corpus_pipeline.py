@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanmeter.llm import repetition
-from loanmeter.llm.queries import table
+from loanmeter.llm import byte_bpe, hyper_minhash, repetition, source_mixing, span_dedup
+from loanmeter.llm.queries import RANKS, table
 from loanmeter.llm.shared_tables import stored
 
 
@@ -14,9 +15,46 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return repetition.keep_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return hyper_minhash.keep_one(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that occur elsewhere; the first copy of a passage stays.
+
+    A document keeps its row even if nothing of its text is left.
+    """
+    rules = span_dedup.SpanRules(keep="first")
+    return span_dedup.without_repeats(docs, rules).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target shares: a row for each epoch that takes the document."""
+    return source_mixing.mixed(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, and a digest of what they decode to."""
+    coded = byte_bpe.round_trip(docs, byte_bpe.read_ranks(RANKS))
+    return coded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("mix_sources", mix_sources),
+    ("tokens", tokens),
+]
 
 ORACLE_SQL = None
+"""SQL cannot express the BPE merges; tests compare the stages with plain Python versions instead."""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmeter.llm import byte_bpe, repetition, rule_ensemble, source_mixing, zstd_language
+from loanmeter.llm import (
+    byte_bpe, hyper_minhash, repetition, rule_ensemble, source_mixing, span_dedup, zstd_language,
+)
 from loanmeter.llm.shared_tables import stored
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +27,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = span_dedup.remaining_bytes(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = source_mixing.mix_sizes(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,6 +47,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_minhash.near_components(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe.read_ranks(RANKS))
     return coded.select(
@@ -59,8 +70,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
 }
