@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from loanmeter.llm.shared_tables import stored
 
 RANGE_ROWS = 50_000
+MOST_BROADCAST = 50_000
+"""Sources up to which the table with one row per source is broadcast; it is counted before."""
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -80,14 +82,16 @@ def source_cuts(
     """
     c = F.col
     budget = F.floor(c("target") + 0.5).cast("bigint")
-    plans = (
+    plans = stored(
         source_targets(sized, weights, max_repeats)
         .withColumn("budget", budget)
         .withColumn("epochs", F.when(c("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0)))
         .withColumn("rest", c("budget") - c("epochs") * c("source_size"))
         .withColumn("ranges", F.ceil(c("n_rows") / RANGE_ROWS).cast("bigint"))
-        .withColumnRenamed("source", "plan_source")
+        .withColumnRenamed("source", "plan_source"),
+        "source_plans",
     )
+    plans = _small(plans)
     of_source = c("source").eqNullSafe(c("plan_source"))
     in_range = F.floor(c("key") / F.lit(float(1 << 52)) * c("ranges")).cast("bigint")
     dealt = (
@@ -117,6 +121,15 @@ def source_cuts(
     )
 
 
+def _small(per_source: DataFrame) -> DataFrame:
+    """Mark a table with one row per source for broadcasting if it is small enough.
+
+    A source with many rows then meets its row without a shuffle. Beyond, the join is shuffled and
+    adaptive execution splits what is skewed.
+    """
+    return F.broadcast(per_source) if per_source.count() <= MOST_BROADCAST else per_source
+
+
 def _place(key: Column, doc_id: Column) -> tuple[Column, Column]:
     """Whether a document comes before the cut, and whether it is the one at the cut."""
     at = (key == F.col("cut_key")) & doc_id.eqNullSafe(F.col("cut_doc"))
@@ -140,7 +153,7 @@ def mix_sizes(
     before, at = _place(c("key"), c("doc_id"))
     last = F.when(before, c("size")).when(at, c("cut_words")).otherwise(F.lit(0))
     return (
-        sized.join(source_cuts(sized, weights, max_repeats), c("source").eqNullSafe(c("plan_source")))
+        sized.join(_small(stored(source_cuts(sized, weights, max_repeats), "cuts")), c("source").eqNullSafe(c("plan_source")))
         .withColumn("taken", (c("epochs") * c("size") + last).cast("bigint"))
         .select("doc_id", "source", "size", "source_size", "target", "taken")
     )
@@ -154,9 +167,9 @@ def mixed(
     The document at the cut is cut behind its last taken word.
     """
     c = F.col
-    cuts = source_cuts(stored(_sized(docs), "sized"), weights, max_repeats)
+    cuts = _small(stored(source_cuts(stored(_sized(docs), "sized"), weights, max_repeats), "cuts"))
     plan = ["mix_source", "epochs", "cut_key", "cut_doc", "cut_words"]
-    cuts = cuts.select(c("plan_source").alias("mix_source"), *plan[1:])
+    cuts = cuts.withColumnRenamed("plan_source", "mix_source").select(*plan)
     before, at = _place(random_key(c("doc_id")), c("doc_id"))
     part = F.when(at, c("cut_words"))
     copies = F.when(words(c("text")) > 0, c("epochs") + (before | (at & (c("cut_words") > 0))).cast("bigint")).otherwise(0)

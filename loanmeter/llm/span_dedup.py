@@ -309,12 +309,13 @@ def remaining_bytes(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFram
 
 def without_repeats(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame:
     """The documents with the remaining text. Bytes that no longer make a character go too."""
+    names = docs.columns
 
     def kernel(part: pa.RecordBatch) -> pa.RecordBatch:
         kept = _without(part)[0].to_pylist()
         null = part.column("text").is_null().to_pylist()
         text = pa.array([None if gone else b.decode(errors="ignore") for b, gone in zip(kept, null, strict=True)], pa.string())
-        columns = {name: part.column(name) for name in docs.columns} | {"text": text}
+        columns = {name: part.column(name) for name in names} | {"text": text}
         return pa.record_batch(list(columns.values()), names=list(columns))
 
     return _with_spans(with_row_hash(docs), rules).mapInArrow(mapped(kernel), docs.schema)
