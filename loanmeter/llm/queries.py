@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmeter.llm import (
-    byte_bpe, context_mixing, hyper_minhash, repetition, rule_ensemble, source_mixing, span_dedup, zstd_language,
+    byte_bpe, context_mixing, hyper_minhash, prefix_forest, repetition, rule_ensemble, source_mixing, span_dedup, zstd_language,
 )
 from loanmeter.llm.shared_tables import stored
 
@@ -47,6 +47,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = context_mixing.text_scores(table(spark, sf_dir, "documents"), fold(10) != 0)
     return scores.select(
@@ -81,6 +85,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_ann": op6_ann,
     "op7_lm_score": op7_lm_score,
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
