@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,3 +22,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
+    """Mark a table for broadcasting if a count finds it small enough.
+
+    Rows of one key, however many, then meet their row of ``df`` without a shuffle. Beyond the bound the join is
+    shuffled, and adaptive execution splits what is skewed. ``df`` should be stored: it is read twice.
+    """
+    return F.broadcast(df) if df.count() <= most_rows else df

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanmeter.llm.shared_tables import stored
+from loanmeter.llm.shared_tables import broadcast_if_small, stored
 
 RANGE_ROWS = 50_000
 MOST_BROADCAST = 50_000
@@ -91,7 +91,7 @@ def source_cuts(
         .withColumnRenamed("source", "plan_source"),
         "source_plans",
     )
-    plans = _small(plans)
+    plans = broadcast_if_small(plans, MOST_BROADCAST)
     of_source = c("source").eqNullSafe(c("plan_source"))
     in_range = F.floor(c("key") / F.lit(float(1 << 52)) * c("ranges")).cast("bigint")
     dealt = (
@@ -121,15 +121,6 @@ def source_cuts(
     )
 
 
-def _small(per_source: DataFrame) -> DataFrame:
-    """Mark a table with one row per source for broadcasting if it is small enough.
-
-    A source with many rows then meets its row without a shuffle. Beyond, the join is shuffled and
-    adaptive execution splits what is skewed.
-    """
-    return F.broadcast(per_source) if per_source.count() <= MOST_BROADCAST else per_source
-
-
 def _place(key: Column, doc_id: Column) -> tuple[Column, Column]:
     """Whether a document comes before the cut, and whether it is the one at the cut."""
     at = (key == F.col("cut_key")) & doc_id.eqNullSafe(F.col("cut_doc"))
@@ -139,6 +130,10 @@ def _place(key: Column, doc_id: Column) -> tuple[Column, Column]:
     return F.coalesce(before, F.lit(False)), F.coalesce(at, F.lit(False))
 
 
+def _cuts(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
+    return broadcast_if_small(stored(source_cuts(sized, weights, max_repeats), "cuts"), MOST_BROADCAST)
+
+
 def _sized(docs: DataFrame) -> DataFrame:
     sized = docs.select("doc_id", "source", words(F.col("text")).alias("size"))
     return sized.withColumn("key", random_key(F.col("doc_id")))
@@ -153,7 +148,7 @@ def mix_sizes(
     before, at = _place(c("key"), c("doc_id"))
     last = F.when(before, c("size")).when(at, c("cut_words")).otherwise(F.lit(0))
     return (
-        sized.join(_small(stored(source_cuts(sized, weights, max_repeats), "cuts")), c("source").eqNullSafe(c("plan_source")))
+        sized.join(_cuts(sized, weights, max_repeats), c("source").eqNullSafe(c("plan_source")))
         .withColumn("taken", (c("epochs") * c("size") + last).cast("bigint"))
         .select("doc_id", "source", "size", "source_size", "target", "taken")
     )
@@ -167,7 +162,7 @@ def mixed(
     The document at the cut is cut behind its last taken word.
     """
     c = F.col
-    cuts = _small(stored(source_cuts(stored(_sized(docs), "sized"), weights, max_repeats), "cuts"))
+    cuts = _cuts(stored(_sized(docs), "sized"), weights, max_repeats)
     plan = ["mix_source", "epochs", "cut_key", "cut_doc", "cut_words"]
     cuts = cuts.withColumnRenamed("plan_source", "mix_source").select(*plan)
     before, at = _place(random_key(c("doc_id")), c("doc_id"))

@@ -24,8 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanmeter.llm.arrow_text import mapped
+from loanmeter.llm.shared_tables import broadcast_if_small, stored
 
 UNKNOWN = "und"
+MOST_BROADCAST = 10_000
+"""Languages up to which the table of their counts is broadcast; it is counted before."""
 _LETTER = re.compile(r"[^\W\d_]")
 _PLAIN = {c: " " for c in range(128) if not chr(c).isalpha()}
 
@@ -56,7 +59,7 @@ def language_samples(labelled: DataFrame, rules: LanguageRules = LanguageRules()
     """
     c = F.col
     rows = labelled.where(c("lang").isNotNull() & (F.length("text") > 0))
-    counts = rows.groupBy(c("lang").alias("counted_lang")).count()
+    counts = broadcast_if_small(stored(rows.groupBy(c("lang").alias("counted_lang")).count(), "languages"), MOST_BROADCAST)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     thinned = rows.join(counts, c("lang") == c("counted_lang")).where(draw * c("count") < 2 * rules.sample_docs)
     by_draw = Window.partitionBy("lang").orderBy(draw, "doc_id")
