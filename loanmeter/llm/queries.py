@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmeter.llm import (
-    byte_bpe, context_mixing, hyper_minhash, prefix_forest, repetition, rule_ensemble, source_mixing, span_dedup, zstd_language,
+    byte_bpe, context_mixing, html_layout, hyper_minhash, prefix_forest, repetition, rule_ensemble, source_mixing, span_dedup, zstd_language,
 )
 from loanmeter.llm.shared_tables import stored
 
@@ -23,6 +23,10 @@ def fold(divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_quality_rules": op2_quality_rules,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_source_mixing": op4_source_mixing,
