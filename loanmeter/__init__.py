@@ -10,7 +10,7 @@ from loanmeter.plans.clean import (
     clean_loans,
     clean_payments,
 )
-from loanmeter.plans.ingest import IngestConfig, ingest_all, ingest_table
+from loanmeter.plans.ingest import IngestConfig, IngestError, ingest_all, ingest_table
 from loanmeter.plans.score import ScoreTables, score_members
 from loanmeter.sources.cleaned import append_clean, read_clean, read_score_tables, register_views
 from loanmeter.sources.published import publish_scores
@@ -19,6 +19,7 @@ from loanmeter.tables import TABLES
 
 __all__ = [
     "IngestConfig",
+    "IngestError",
     "ScoreParams",
     "ScoreTables",
     "TABLES",

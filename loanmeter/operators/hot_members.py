@@ -1,27 +1,28 @@
-"""Members that hold a large part of a table, and how to split them over tasks.
+"""Members whose join is too much for one task, and how to split them over tasks.
 
 A join on ``member_id`` sends all rows of a member to one task. For a member with a third of
-all payments that task never ends, and adaptive execution cannot help: it does not split the
-right side of an outer join, nor a stage that chains several joins. So hot members are joined
-on ``(member_id, cell)`` instead. Every side is cut into pieces, a cell is one combination of
+all payments that task never ends, and neither does it for a member with middling numbers of payments and of
+loans, whose product is large. Adaptive execution cannot help: it does not split the
+right side of an outer join, nor a stage that chains several joins. So all members are joined
+on ``(member_id, cell)``. Every side of a hot member is cut into pieces, a cell is one combination of
 pieces, and a row goes to all cells its piece takes part in (the *shares* scheme for multiway
-joins, Afrati and Ullman 2010). Each combination of rows meets in exactly one cell.
+joins, Afrati and Ullman 2010). Each combination of rows meets in exactly one cell. A member that is not hot
+has one cell.
 
-Before they are shuffled, equal rows of a hot member are folded into one row with a count, on
-the map side. Point rules map millions of payments to a few dozen distinct rows. The count is
-unfolded after the join, so the result is whole.
+Hot is who exceeds an absolute number of rows on one side or of output rows. The numbers come from one
+aggregation over the keys of all sides, combined before it is shuffled; they stay in a table.
 
 Nothing here depends on random numbers or row order: a recomputed task yields the same cells.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from math import prod
+from operator import mul
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = "member_id"
@@ -33,159 +34,137 @@ UNFOLD_STEP = 10_000
 class HotPolicy:
     """When a member counts as hot, and how finely it is cut.
 
-    The values steer parallelism only; the result is the same for any of them.
+    The values steer parallelism only; the result is the same for any of them. They are numbers of rows, so they
+    do not move with the size of a table.
     """
 
-    sample: float = 0.001
-    """Share of the keys looked at when searching for candidates."""
-    share: float = 0.0001
-    """A hot member holds about this share of a table or more, which bounds their number."""
-    min_rows: int = 100_000
-    """A member with fewer rows than this in every table is not hot; input rows aimed at per cell."""
-    cell_rows: int = 5_000_000
-    """Output rows aimed at per cell."""
+    most_rows: int = 100_000
+    """Rows of a member on one side that a task takes at most."""
+    most_output: int = 5_000_000
+    """Output rows of a member that a task makes at most."""
     max_cells: int = 20_000
-    """Cells wanted for one member at most, and the most partitions of the hot join."""
+    """Cells wanted for one member at most."""
+    most_broadcast: int = 100_000
+    """Hot members up to which their table is broadcast; it is counted before."""
 
 
 @dataclass(frozen=True)
 class HotMembers:
-    """Exact row counts per hot member and side, and the cells cut from them."""
+    """``table`` has one row per hot member: ``cells``, and per side its cuts and the stride of a cut."""
 
-    policy: HotPolicy
+    table: DataFrame
     sides: tuple[str, ...]
-    counts: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
-
-    def __bool__(self) -> bool:
-        return bool(self.counts)
-
-    @property
-    def cells(self) -> int:
-        return sum(prod(self._cuts(n).values()) for n in self.counts.values())
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        """One row per hot member: cells, and per side the cuts and the stride of a cut.
-
-        At most ``2 / share`` members per side, hence small enough to broadcast.
-        """
-        names = [f"{side}_{what}" for side in self.sides for what in ("cuts", "stride")]
-        rows = []
-        for member, counts in self.counts.items():
-            cuts, stride, row = self._cuts(counts), 1, []
-            for side in self.sides:
-                row += [cuts[side], stride]
-                stride *= cuts[side]
-            rows.append((member, stride, *row))
-        numbers = ", ".join(f"{n} bigint" for n in ("cells", *names))
-        return spark.createDataFrame(rows, f"{KEY} string, {numbers}")
-
-    def _cuts(self, counts: Mapping[str, int]) -> dict[str, int]:
-        """Pieces per side of one member.
-
-        A side that has no row of the member is never cut, and neither are the sides joined
-        behind it: a left row that finds no partner must appear once, not once per cell.
-        """
-        rows = {side: counts.get(side, 0) for side in self.sides}
-        if not (rows["payments"] and rows["customers"]):
-            rows = {side: n if side == "defaulters" else 0 for side, n in rows.items()}
-        if not rows.get("defaulters", 1):
-            rows = dict.fromkeys(rows, 0)
-
-        output = prod(max(1, n) for n in rows.values())
-        enough = max(output // self.policy.cell_rows, max(rows.values()) // self.policy.min_rows)
-        enough = min(enough, self.policy.max_cells)
-        # Halving the largest piece first keeps the copies sent to other cells near their least.
-        cuts = dict.fromkeys(rows, 1)
-        while prod(cuts.values()) < enough:
-            side = max(rows, key=lambda s: rows[s] / cuts[s])
-            if cuts[side] >= rows[side]:
-                break
-            cuts[side] = min(2 * cuts[side], rows[side])
-        return cuts
-
-
-def find_hot_members(sides: Mapping[str, DataFrame], policy: HotPolicy | None = None) -> HotMembers:
-    """Look for hot members: a sample names candidates, a count over the whole tables decides.
-
-    Reads only the key column. Both results that reach the driver are bounded by ``share``.
+    is_small: bool
+
+    def of(self, columns: Sequence[str]) -> DataFrame:
+        wanted = self.table.select(KEY, *columns)
+        return F.broadcast(wanted) if self.is_small else wanted
+
+
+def find_hot_members(sides: Mapping[str, DataFrame], policy: HotPolicy | None = None) -> HotMembers | None:
+    """Look for hot members; None if there are none. Reads only the key columns.
+
+    Runs one Spark job, which counts the hot members. Their table is cached and recomputed where it is lost.
     """
     policy = policy or HotPolicy()
-    names = tuple(sides)
-    keys = [
-        df.where(F.col(KEY).isNotNull()).select(F.lit(name).alias("side"), KEY)
-        for name, df in sides.items()
-    ]
-
-    looked_at = [k.sample(fraction=policy.sample, seed=7) for k in keys] if policy.sample < 1 else keys
-    seen = reduce(DataFrame.unionAll, looked_at).groupBy("side", KEY).count()
-    total = seen.groupBy("side").agg(F.sum("count").alias("total"))
-    least = F.greatest(F.lit(policy.min_rows * policy.sample), F.col("total") * policy.share)
-    # A sample strays from the truth: half the bound is enough to become a candidate.
-    candidates = (
-        seen.join(F.broadcast(total), "side")  # one row per side
-        .where(F.col("count") * 2 >= least)
-        .select(KEY)
-        .collect()  # at most 2 / share per side
+    table = hot_table(member_rows(sides), tuple(sides), policy).persist()
+    found = table.count()
+    if not found:
+        table.unpersist()
+        return None
+    return HotMembers(table, tuple(sides), found <= policy.most_broadcast)
+
+
+def member_rows(sides: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per member: its number of rows on each side, as ``<side>_rows``."""
+    keys = [df.where(F.col(KEY).isNotNull()).select(KEY, F.lit(name).alias("side")) for name, df in sides.items()]
+    counts = [F.count_if(F.col("side") == name).alias(f"{name}_rows") for name in sides]
+    return reduce(DataFrame.unionAll, keys).groupBy(KEY).agg(*counts)
+
+
+def hot_table(rows: DataFrame, sides: tuple[str, ...], policy: HotPolicy) -> DataFrame:
+    """The hot members among the rows of ``member_rows``, with their cuts."""
+    own = {side: F.col(f"{side}_rows") for side in sides}
+    # A side that has no row of the member is never cut, and neither are the sides joined behind it: a
+    # left row that finds no partner must appear once, not once per cell.
+    is_paid = (own["payments"] > 0) & (own["customers"] > 0)
+    used = {side: n if side == "defaulters" else F.when(is_paid, n).otherwise(0) for side, n in own.items()}
+    if "defaulters" in own:
+        used = {side: F.when(own["defaulters"] > 0, n).otherwise(0) for side, n in used.items()}
+    counted = rows.select(KEY, F.array(*(n.cast("double") for n in used.values())).alias("rows"))
+    output = reduce(mul, (F.greatest(F.col("rows")[i], F.lit(1.0)) for i in range(len(sides))))
+    wanted = F.greatest(
+        F.ceil(output / policy.most_output), F.ceil(F.array_max("rows") / policy.most_rows), F.lit(1)
+    )
+    wanted = F.least(wanted, F.lit(policy.max_cells)).cast("double")
+    cut = (
+        counted.withColumn("wanted", wanted)
+        .where("wanted > 1")
+        .withColumn("cuts", _cuts(F.col("rows"), F.col("wanted"), len(sides), policy.max_cells))
     )
-    if not candidates:
-        return HotMembers(policy, names)
+    columns, stride = [], F.lit(1).cast("bigint")
+    for i, side in enumerate(sides):
+        cuts = F.col("cuts")[i].cast("bigint")
+        columns += [cuts.alias(f"{side}_cuts"), stride.alias(f"{side}_stride")]
+        stride = stride * cuts
+    return cut.select(KEY, stride.alias("cells"), *columns).where("cells > 1")
 
-    spark = next(iter(sides.values())).sparkSession
-    wanted = F.broadcast(spark.createDataFrame(sorted(set(candidates)), f"{KEY} string"))
-    counts: dict[str, dict[str, int]] = {}
-    exact = reduce(DataFrame.unionAll, keys).join(wanted, KEY, "left_semi").groupBy("side", KEY).count()
-    for row in exact.collect():  # at most one per candidate and side
-        counts.setdefault(row[KEY], {})[row["side"]] = row["count"]
-    hot = {m: n for m, n in sorted(counts.items()) if max(n.values()) >= policy.min_rows}
-    return HotMembers(policy, names, hot)
 
+def _cuts(rows: Column, wanted: Column, n: int, max_cells: int) -> Column:
+    """Pieces per side. Halving the largest piece first keeps the copies sent to other cells near their least."""
 
-def cut_side(df: DataFrame, side: str, hot: DataFrame) -> DataFrame:
-    """Rows of the hot members, folded and sent to their cells.
+    def halve(cuts: Column, _: Column) -> Column:
+        pieces = F.zip_with(rows, cuts, lambda r, c: r / c)
+        largest = F.array_position(pieces, F.array_max(pieces)) - 1
+        more = F.transform(cuts, lambda c, i: F.when(i == largest, F.least(2 * c, F.get(rows, i))).otherwise(c))
+        product = F.aggregate(cuts, F.lit(1.0), lambda a, c: a * c)
+        return F.when((product < wanted) & (F.array_max(pieces) > 1), more).otherwise(cuts)
 
-    Adds ``cell`` and ``<side>_rows``, the number of equal rows this row stands for there.
+    steps = F.sequence(F.lit(1), F.lit(max(1, max_cells - 1).bit_length() + n))
+    return F.aggregate(steps, F.array_repeat(F.lit(1.0), n), halve)
+
+
+def cut_side(df: DataFrame, side: str, hot: HotMembers) -> DataFrame:
+    """All rows of a side, sent to their cells; adds ``cell``, which is 0 for members that are not hot.
+
+    A row's piece follows from its content. Rows folded into one with a count are spread evenly over the
+    pieces, starting from the piece that the content decides.
     """
-    cuts, stride, cells = F.col(f"{side}_cuts"), F.col(f"{side}_stride"), F.col("cells")
-    rows = F.col("rows")
-    payload = df.columns
-    helpers = [f"{side}_cuts", f"{side}_stride", "cells"]
-
-    folded = fold(df.join(F.broadcast(hot.select(KEY, *helpers)), KEY), "rows")
-    # Equal rows spread evenly over the pieces, starting from a piece the content decides.
-    placed = folded.withColumn(
-        "nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(rows, cuts) - 1))
-    ).select(
-        *payload,
-        *helpers,
-        F.pmod(F.xxhash64(*payload) + F.col("nth"), cuts).alias("piece"),
-        (F.floor(rows / cuts) + (F.col("nth") < rows % cuts).cast("bigint")).alias(f"{side}_rows"),
-    )
+    placed = df.join(hot.of(["cells", f"{side}_cuts", f"{side}_stride"]), KEY, "left")
+    numbers = {name: F.coalesce(F.col(name), F.lit(1).cast("bigint")) for name in ("cells", f"{side}_cuts", f"{side}_stride")}
+    placed = placed.withColumns(numbers)
+    cuts, stride = F.col(f"{side}_cuts"), F.col(f"{side}_stride")
+    rows, content = f"{side}_rows", [c for c in df.columns if c != f"{side}_rows"]
+    payload, start = content, F.pmod(F.xxhash64(*content), cuts)
+    if rows in df.columns:
+        nth = F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(F.col(rows), cuts) - 1))
+        share = F.floor(F.col(rows) / cuts) + (F.col("nth") < F.col(rows) % cuts).cast("bigint")
+        placed = placed.withColumn("nth", nth).withColumn(rows, share).withColumn("piece", F.pmod(start + F.col("nth"), cuts))
+        payload = [*content, rows]
+    else:
+        placed = placed.withColumn("piece", start)
     # All cells of that piece: the other sides' pieces above and below this side's stride.
     block = F.expr(f"other div {side}_stride")
-    return placed.withColumn(
-        "other", F.explode(F.expr(f"sequence(0L, cells div {side}_cuts - 1)"))
-    ).select(
-        *payload,
-        f"{side}_rows",
-        (block * stride * cuts + F.col("piece") * stride + F.col("other") % stride).alias(CELL),
+    return placed.withColumn("other", F.explode(F.expr(f"sequence(0L, cells div {side}_cuts - 1)"))).select(
+        *payload, (block * stride * cuts + F.col("piece") * stride + F.col("other") % stride).alias(CELL)
     )
 
 
 def fold(df: DataFrame, rows: str) -> DataFrame:
-    """Equal rows become one; the new column ``rows`` says how many there were."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias(rows))
+    """Equal rows become one with a count ``rows``, or several where the count exceeds ``UNFOLD_STEP``.
 
-
-def unfold(df: DataFrame, rows: str) -> DataFrame:
-    """Repeat each row as often as the column ``rows`` says, and drop that column.
-
-    In two steps, so that no row ever holds a long array.
+    They are counted before they are shuffled.
     """
-    kept = [c for c in df.columns if c != rows]
-    steps = F.expr(f"sequence(0L, ({rows} - 1) div {UNFOLD_STEP})")
-    in_step = F.expr(f"int(least({UNFOLD_STEP}, {rows} - step * {UNFOLD_STEP}))")
+    left = F.col("all_rows") - F.col("step") * UNFOLD_STEP
     return (
-        df.select(*kept, rows, F.explode(steps).alias("step"))
-        .select(*kept, F.explode(F.array_repeat(F.lit(True), in_step)).alias("copy"))
-        .select(*kept)
+        df.groupBy(*df.columns)
+        .agg(F.count("*").alias("all_rows"))
+        .withColumn("step", F.explode(F.expr(f"sequence(0L, (all_rows - 1) div {UNFOLD_STEP})")))
+        .select(*df.columns, F.least(left, F.lit(UNFOLD_STEP).cast("bigint")).alias(rows))
     )
+
+
+def unfold(df: DataFrame, rows: str) -> DataFrame:
+    """Repeat each row as often as the column ``rows`` says, at most ``UNFOLD_STEP`` times, and drop that column."""
+    kept = [c for c in df.columns if c != rows]
+    return df.withColumn("copy", F.explode(F.array_repeat(F.lit(True), F.col(rows).cast("int")))).select(*kept)

@@ -9,16 +9,18 @@ defaulter's own id, so all joins use the defaulter's id plus the condition "has
 table is then shuffled once, and the row multiplication happens inside one stage.
 
 Rows multiply when a member has several rows on several sides. That is the specified result.
-Payments, the side with most rows per member, have few distinct points: once they are shuffled,
-equal ones are folded into one row with a count, and unfolded after the last join. So the sort and
+Payments, the side with most rows per member, have few distinct points: equal ones are folded into one row with a
+count before they are shuffled, and unfolded after the last join. So the shuffle, the sort and
 the row groups a join keeps in memory stay small, even for members with millions of payments.
+
+Hot members are cut into cells (``hot_members``). The same joins serve them and all others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from operator import and_, mul
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,35 +55,33 @@ def join_members(
         done = finish(joined)
         return done.select(*columns, *({ROWS} & set(done.columns))) if columns else done
 
-    cold = dict(sides)
+    whole = "defaulters" in sides
+    cut = {name: df.where(F.col(KEY).isNotNull()) for name, df in sides.items()}
+    cut["payments"] = fold(cut["payments"], ROWS)
+    on = [KEY]
     if hot:
-        members = hot.frame(sides["payments"].sparkSession)
-        only_ids = F.broadcast(members.select(KEY))
-        cold = {name: df.join(only_ids, KEY, "left_anti") for name, df in sides.items()}
-
-    if "defaulters" in sides:
-        # This shuffle is the one the join needs anyway.
-        payments = cold["payments"].where(F.col(KEY).isNotNull()).repartition(KEY)
-        joined = _join({**cold, "payments": fold(payments, "payments_rows")}, [KEY])
-        result = _unfold(joined, ["payments"], finished)
-        nobody = _null_members(sides["defaulters"], joined.drop("payments_rows"))
+        cut["payments"] = cut["payments"].withColumnRenamed(ROWS, "payments_rows")
+        cut = {name: cut_side(df, name, hot) for name, df in cut.items()}
+        cut["payments"] = cut["payments"].withColumnRenamed("payments_rows", ROWS)
+        on = [KEY, CELL]
+        if whole:
+            cut["defaulters"] = _with_flags(cut["defaulters"], sides, hot)
+    joined = _join(cut, on, bool(hot))
+    if whole:
+        joined = joined.withColumn(ROWS, F.coalesce(ROWS, F.lit(1)))
+    result = unfold(finished(joined), ROWS)
+    if whole:
+        nobody = _null_members(sides["defaulters"], joined.drop(ROWS))
         result = result.unionByName(finished(nobody))
-    else:
-        result = finished(_join(cold, [KEY]))
-
-    if hot:
-        joined = _unfold(_join_hot(sides, hot, members), sides, finished)
-        result = result.unionByName(joined.select(*result.columns))
     return result
 
 
 def _join(sides: Mapping[str, DataFrame], on: list[str], cut: bool = False) -> DataFrame:
     paid = sides["payments"].join(sides["customers"], on)
     if "defaulters" not in sides:
-        return paid
+        return paid.drop(CELL)
 
-    out = sides["defaulters"].where(F.col(KEY).isNotNull())
-    out = out.join(paid.withColumn(PAID, F.col(KEY)), on, "left")
+    out = sides["defaulters"].join(paid.withColumn(PAID, F.col(KEY)), on, "left")
     if cut:
         # Pieces may be empty. A member known to have partners has one in some other cell.
         out = out.where(F.col(PAID).isNotNull() | ~F.col("paid_is_cut"))
@@ -94,15 +94,8 @@ def _join(sides: Mapping[str, DataFrame], on: list[str], cut: bool = False) -> D
         has = F.col(f"{name}_{KEY}").isNotNull()
         if cut:
             out = out.where(has | ~F.col(f"{name}_is_cut"))
-        out = out.withColumn(f"has_{name}", has).drop(*(f"{name}_{k}" for k in on))
-    return out.drop(KEY).withColumnRenamed(PAID, KEY)
-
-
-def _unfold(joined: DataFrame, folded: Iterable[str], finished: Finish) -> DataFrame:
-    """A joined row stands for all combinations of the rows folded on each side."""
-    counts = [f"{name}_rows" for name in folded]
-    rows = reduce(mul, (F.coalesce(F.col(c), F.lit(1)) for c in counts))
-    return unfold(finished(joined.withColumn(ROWS, rows).drop(*counts)), ROWS)
+        out = out.withColumn(f"has_{name}", has).drop(*(f"{name}_{k}" for k in on), f"{name}_is_cut")
+    return out.drop(KEY, CELL, "paid_is_cut").withColumnRenamed(PAID, KEY)
 
 
 def _null_members(defaulters: DataFrame, joined: DataFrame) -> DataFrame:
@@ -117,19 +110,9 @@ def _null_members(defaulters: DataFrame, joined: DataFrame) -> DataFrame:
     return nobody.withColumns(missing)
 
 
-def _join_hot(sides: Mapping[str, DataFrame], hot: HotMembers, members: DataFrame) -> DataFrame:
-    # Folded rows are few bytes but stand for many. A fixed number of partitions takes the place
-    # of the join's own shuffle and keeps adaptive execution from coalescing the cells. Twice as
-    # many as cells, so that few cells share a partition.
-    parts = min(2 * hot.cells, hot.policy.max_cells)
-    cut = {
-        name: cut_side(df, name, members).repartition(parts, KEY, CELL)
-        for name, df in sides.items()
-    }
-    if "defaulters" in cut:
-        is_cut = {"paid_is_cut": (F.col("payments_cuts") > 1) | (F.col("customers_cuts") > 1)}
-        is_cut |= {f"{n}_is_cut": F.col(f"{n}_cuts") > 1 for n in OPTIONAL if n in sides}
-        flags = members.select(KEY, *(c.alias(name) for name, c in is_cut.items()))
-        cut["defaulters"] = cut["defaulters"].join(F.broadcast(flags), KEY)
-
-    return _join(cut, [KEY, CELL], cut=True)
+def _with_flags(defaulters: DataFrame, sides: Mapping[str, DataFrame], hot: HotMembers) -> DataFrame:
+    """Which other sides of the member are cut, so that a missing partner may be in another cell."""
+    cut = {"paid_is_cut": (F.col("payments_cuts") > 1) | (F.col("customers_cuts") > 1)}
+    cut |= {f"{n}_is_cut": F.col(f"{n}_cuts") > 1 for n in OPTIONAL if n in sides}
+    flags = hot.of([c.alias(name) for name, c in cut.items()])
+    return defaulters.join(flags, KEY, "left").withColumns({n: F.coalesce(n, F.lit(False)) for n in cut})

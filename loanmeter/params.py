@@ -40,10 +40,13 @@ class ScoreParams:
 
     @classmethod
     def from_conf(cls, spark: SparkSession, prefix: str = CONF_PREFIX) -> ScoreParams:
-        """Read overrides from the session, e.g. ``spark.loanmeter.good = 520``."""
-        found = {}
-        for field in fields(cls):
-            value = spark.conf.get(prefix + field.name, None)
-            if value is not None:
-                found[field.name] = type(field.default)(value)
-        return cls(**found)
+        """Read overrides from the session, e.g. ``spark.loanmeter.good = 520``.
+
+        Points and cuts are whole numbers. A name that is no parameter is an error.
+        """
+        kinds = {field.name: type(field.default) for field in fields(cls)}
+        given = {k.removeprefix(prefix): v for k, v in spark.conf.getAll.items() if k.startswith(prefix)}
+        unknown = sorted(given.keys() - kinds.keys())
+        if unknown:
+            raise ValueError(f"no such scoring parameters: {', '.join(prefix + name for name in unknown)}")
+        return cls(**{name: kinds[name](value) for name, value in given.items()})

@@ -32,7 +32,7 @@ class ScoreTables:
     loans: DataFrame
     accounts: DataFrame
 
-    def hot_members(self, *names: str, policy: HotPolicy | None = None) -> HotMembers:
+    def hot_members(self, *names: str, policy: HotPolicy | None = None) -> HotMembers | None:
         """Find the hot members of the named tables. Runs a Spark job."""
         return find_hot_members({name: getattr(self, name) for name in names}, policy)
 

@@ -1,5 +1,6 @@
 """The member join: specified multiplicities, hot members, and the shape of its plan."""
 
+import re
 from collections import Counter
 from itertools import product
 
@@ -8,11 +9,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from loanmeter import ScoreTables, score_members
-from loanmeter.operators.hot_members import HotMembers, HotPolicy, cut_side, find_hot_members, unfold
+from loanmeter.operators.hot_members import HotPolicy, cut_side, find_hot_members, fold, hot_table, member_rows, unfold
 from loanmeter.operators.member_join import join_members
 
 SIDES = ("defaulters", "payments", "customers", "loans", "accounts")
-EAGER = HotPolicy(sample=1.0, share=0.001, min_rows=3, cell_rows=4, max_cells=16)
+EAGER = HotPolicy(most_rows=3, most_output=4, max_cells=16)
 MEMBERS = ("a", "b", "c", None)
 
 
@@ -88,8 +89,7 @@ def test_one_hot_side(spark, hot_side):
     data = many(spark, hot_side)
     sides = frames(spark, data)
     hot = find_hot_members(sides, EAGER)
-    assert hot.counts["7"][hot_side] == 21 and hot.counts["7"]["loans"] >= 1
-    assert hot._cuts(hot.counts["7"])[hot_side] > 1
+    assert {r.member_id: r[f"{hot_side}_cuts"] > 1 for r in hot.table.collect()}["7"]
     assert found(join_members(sides, hot)) == expected(data)
 
 
@@ -112,7 +112,7 @@ def test_hot_members_with_missing_sides(spark):
     data["accounts"] = [(m, v) for m, v in hot if m == "p"] + [("s", 1)] * 4
     sides = frames(spark, data)
     members = find_hot_members(sides, EAGER)
-    assert members.counts.keys() == set("pqrst")
+    assert {r.member_id for r in members.table.collect()} == set("pqrst")
     assert found(join_members(sides, members)) == expected(data)
 
 
@@ -122,36 +122,59 @@ def test_any_data_any_cells(spark, data):
     rows = st.lists(st.tuples(st.sampled_from(MEMBERS), st.integers(0, 2)), max_size=9)
     tables = {s: data.draw(rows, label=s) for s in SIDES}
     policy = HotPolicy(
-        sample=1.0,
-        share=data.draw(st.sampled_from([0.5, 0.1])),
-        min_rows=data.draw(st.integers(1, 4)),
-        cell_rows=data.draw(st.integers(1, 10)),
+        most_rows=data.draw(st.integers(1, 4)),
+        most_output=data.draw(st.integers(1, 10)),
         max_cells=data.draw(st.integers(1, 20)),
+        most_broadcast=data.draw(st.integers(0, 1)),
     )
     sides = frames(spark, tables)
     assert found(join_members(sides, find_hot_members(sides, policy))) == expected(tables)
 
 
-def test_hot_members_are_exact_counts(spark):
+def cuts(spark, counts, policy):
+    """The row of one hot member with the given numbers of rows, or None."""
+    sides = tuple(counts)
+    rows = spark.createDataFrame([("m", *counts.values())], "member_id string, " + ", ".join(f"{s}_rows long" for s in sides))
+    found = hot_table(rows, sides, policy).collect()
+    return found[0].asDict() if found else None
+
+
+def test_rows_are_counted_exactly(spark):
     sides = frames(spark, {"payments": [("a", 1)] * 5 + [("b", 1)] * 2 + [(None, 1)] * 9, "customers": [("a", 1)]},
                    ("payments", "customers"))
-    assert find_hot_members(sides, EAGER).counts == {"a": {"payments": 5, "customers": 1}}
-    assert not find_hot_members(sides)
+    assert {tuple(r) for r in member_rows(sides).collect()} == {("a", 5, 1), ("b", 2, 0)}
+    assert find_hot_members(sides) is None
+
+
+def test_hot_by_product(spark):
+    """Two sides below the bound on rows, their product above the bound on output; tables may be of any size."""
+    policy = HotPolicy(most_rows=1_000, most_output=100_000)
+    counts = {"defaulters": 1, "payments": 900, "customers": 1, "loans": 900, "accounts": 2}
+    row = cuts(spark, counts, policy)
+    assert row["cells"] >= 900 * 900 * 2 / policy.most_output
+    assert cuts(spark, counts | {"loans": 10}, policy) is None
+    data = {s: [(str(i), i) for i in range(30)] for s in SIDES}
+    data["payments"] = data["payments"] + [("7", i) for i in range(11)]
+    data["loans"] = data["loans"] + [("7", i) for i in range(11)]
+    sides = frames(spark, data)
+    hot = find_hot_members(sides, HotPolicy(most_rows=50, most_output=40))
+    assert [r.member_id for r in hot.table.collect()] == ["7"]
+    assert found(join_members(sides, hot)) == expected(data)
 
 
 def test_cells_cover_all_combinations(spark):
-    hot = HotMembers(EAGER, SIDES, {"a": {"defaulters": 3, "payments": 9, "customers": 1, "loans": 5}})
-    row = hot.frame(spark).first().asDict()
+    row = cuts(spark, {"defaulters": 3, "payments": 9, "customers": 1, "loans": 5, "accounts": 0}, EAGER)
     strides = [(row[f"{s}_stride"], row[f"{s}_cuts"]) for s in SIDES]
     cells = {sum(i * stride for i, (stride, _) in zip(at, strides)) for at in product(*(range(c) for _, c in strides))}
-    assert cells == set(range(row["cells"])) and row["cells"] == hot.cells
+    assert cells == set(range(row["cells"]))
 
 
 def test_unfold(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 25_003), ("c", 10_000)], "v string, n bigint")
-    assert {r.v: r["count"] for r in unfold(df, "n").groupBy("v").count().collect()} == {
-        "a": 1, "b": 25_003, "c": 10_000,
-    }
+    times = {"a": 1, "b": 25_003, "c": 10_000}
+    df = spark.createDataFrame([(v,) for v, n in times.items() for _ in range(n)], "v string")
+    folded = fold(df, "n")
+    assert sorted(r.n for r in folded.collect()) == [1, 5_003, 10_000, 10_000, 10_000]
+    assert {r.v: r["count"] for r in unfold(folded, "n").groupBy("v").count().collect()} == times
 
 
 @pytest.fixture
@@ -181,38 +204,51 @@ def test_each_table_is_shuffled_once(spark, tmp_path, plain_plans):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
         tables[name] = spark.read.schema(schema).parquet(str(tmp_path / name))
     plan = score_members(ScoreTables(**tables))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 5
+    # Payments twice: folded by member and points, then joined; what is shuffled the second time is small.
+    assert plan.count("Exchange hashpartitioning") == 6
     assert plan.count("Sort [") == 5
     assert plan.count("SortMergeJoin") == 4
     assert "other" not in plan and "age#" not in plan
     assert "PushedFilters: [IsNull(member_id)], ReadSchema: struct<member_id:string>" in plan
 
 
-def test_cuts_are_balanced():
+def test_cuts_are_balanced(spark):
     """Copies stay few: two equally large sides are cut alike, a small one not at all."""
     counts = {"payments": 1_000_000, "customers": 1, "defaulters": 1, "loans": 1_000_000, "accounts": 40}
-    cuts = HotMembers(HotPolicy(), SIDES)._cuts(counts)
-    assert cuts["payments"] / cuts["loans"] in (0.5, 1, 2)
-    assert cuts["payments"] * cuts["loans"] >= 10_000
-    assert (cuts["customers"], cuts["defaulters"], cuts["accounts"]) == (1, 1, 1)
+    row = cuts(spark, counts, HotPolicy())
+    assert row["payments_cuts"] / row["loans_cuts"] in (0.5, 1, 2)
+    assert row["payments_cuts"] * row["loans_cuts"] >= 10_000
+    assert (row["customers_cuts"], row["defaulters_cuts"], row["accounts_cuts"]) == (1, 1, 1)
 
 
 def test_cells_do_not_depend_on_row_order(spark):
     """A task that runs again on rows in another order sends them to the same cells."""
-    rows = [("a", v % 7) for v in range(60)] + [("b", v) for v in range(30)]
-    hot = HotMembers(EAGER, SIDES, {m: {s: 10 for s in SIDES} | {"loans": n} for m, n in (("a", 60), ("b", 30))})
-    found = []
+    rows = [("a", v % 7) for v in range(60)] + [("b", v) for v in range(30)] + [("c", 1)]
+    seen = []
     for order in (rows, rows[::-1]):
         df = spark.createDataFrame(order, "member_id string, loans_value int").repartition(3)
-        found.append(Counter(tuple(r) for r in cut_side(df, "loans", hot.frame(spark)).collect()))
-    assert found[0] == found[1]
+        sides = frames(spark, {s: [(m, 1) for m in "ab"] for s in SIDES}) | {"loans": df}
+        hot = find_hot_members(sides, EAGER)
+        seen.append(Counter(tuple(r) for r in cut_side(df, "loans", hot).collect()))
+    assert seen[0] == seen[1]
 
 
-def test_payments_are_folded_before_the_sort(spark, plain_plans):
+def test_payments_are_folded_before_they_are_shuffled(spark, plain_plans):
     plan = join_members(frames(spark, EXAMPLE))._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
-    fold = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "payments_value" in line)
-    shuffle = next(i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line)
-    sort = max(i for i, line in enumerate(lines[:fold]) if "Sort [" in line)
-    assert sort < fold < shuffle  # a plan reads from the result down to the scans
-    assert plan.count("Exchange hashpartitioning") == 5
+    partial = [line for line in plan.splitlines() if "HashAggregate" in line and "partial_count" in line]
+    assert len(partial) == 1 and "payments_value" in partial[0]
+    # One generator over joined rows, one over the folded payments.
+    assert plan.count("Generate ") == 2
+
+
+def test_hot_members_take_the_same_plan(spark, tmp_path, plain_plans):
+    """One scan of each table, and of defaulters one more for rows without a member."""
+    data = many(spark, "payments")
+    for name, df in frames(spark, data).items():
+        df.write.parquet(str(tmp_path / name))
+    sides = {s: spark.read.parquet(str(tmp_path / s)) for s in SIDES}
+    hot = find_hot_members(sides, EAGER)
+    joined = join_members(sides, hot)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?<!InMemory)Relation \[", plan)) == len(SIDES) + 1
+    assert found(joined) == expected(data)

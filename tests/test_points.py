@@ -154,3 +154,12 @@ def test_parameters_from_session(spark):
         spark.conf.unset("spark.loanmeter.good")
         spark.conf.unset("spark.loanmeter.grade_f")
     assert ScoreParams.from_conf(spark) == ScoreParams()
+
+
+def test_unknown_parameter_is_an_error(spark):
+    spark.conf.set("spark.loanmeter.goood", "520")
+    try:
+        with pytest.raises(ValueError, match="goood"):
+            ScoreParams.from_conf(spark)
+    finally:
+        spark.conf.unset("spark.loanmeter.goood")

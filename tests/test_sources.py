@@ -9,6 +9,7 @@ from pyspark.sql.utils import AnalysisException
 from loanmeter import (
     TABLES,
     IngestConfig,
+    IngestError,
     append_clean,
     clean,
     ingest_all,
@@ -156,7 +157,12 @@ def test_batch_and_score(spark, cfg):
     assert again.where("member_id is null").count() == 2
 
 
-def test_failing_table_ends_the_batch(spark, cfg, tmp_path):
+def test_failing_table_leaves_the_others_done(spark, cfg, tmp_path):
     (tmp_path / "raw" / TABLES["accounts"].raw_file).unlink()
-    with pytest.raises(AnalysisException):
+    with pytest.raises(IngestError) as failed:
         ingest_all(spark, cfg)
+    assert isinstance(failed.value.__cause__, AnalysisException)
+    assert {name: (rows, said) for name, rows, said in failed.value.status} == {
+        "customers": (2, "Success"), "loans": (1, "Success"), "accounts": (None, "AnalysisException"),
+        "defaulters": (2, "Success"), "payments": (1, "Success"), "investors": (1, "Success"),
+    }
