@@ -1,6 +1,7 @@
 """Loan tables derived from the given tables, as described in FIXTURES.md.
 
-The same SQL text runs in Spark and in the SQL oracle. Names in braces are the given tables.
+The same SQL text runs in Spark and in the SQL oracle. Names in braces are the given tables. A derived
+table has one row per row of its source; members that should not match get an id no other table has.
 """
 
 from __future__ import annotations
@@ -8,13 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+def _alone(key: str, table: int) -> str:
+    """An id of its own: the key behind an offset that only this table uses."""
+    return f"cast(cast({key} as bigint) + {table}0000000000 as string)"
+
+
 GIVEN = ("region", "nation", "customer", "orders", "lineitem")
 
 RAW = {
     "accounts": """
 select cast(c_custkey * 3 as string) acc_id,
   case when c_custkey % 29 = 0 then 'null' else cast(c_custkey as string) end mem_id,
-  cast(c_custkey * 10 as string) loan_id,
+  case when c_custkey % 47 = 0 then null else cast(c_custkey * 10 as string) end loan_id,
   substr('ABCDEFG', cast(c_custkey % 7 + 1 as int), 1) grade,
   concat(substr('ABCDEFG', cast((case when c_custkey % 23 = 0 then c_custkey + 1 else c_custkey end) % 7 + 1 as int), 1),
          cast(c_custkey % 5 + 1 as string)) sub_grade,
@@ -32,14 +38,15 @@ select cast(c_custkey * 3 as string) acc_id,
 from {customer}""",
     "customers": """
 select cast(c_custkey + 7 as string) cust_id,
-  case when c_custkey % 31 = 0 then null else cast(c_custkey as string) end mem_id,
+  case when c_custkey % 31 = 0 then null when c_custkey % 53 = 0 then 'null' else cast(c_custkey as string) end mem_id,
   c_name fst_name, c_mktsegment lst_name,
   case when c_custkey % 4 = 0 then 'null' else 'TRUE' end prm_status,
   cast(case when c_custkey % 37 = 0 then null else 18 + c_custkey % 60 end as int) age,
   n_name state, r_name country
 from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
     "defaulters": """
-select cast(c_custkey * 10 as string) loan_id, cast(c_custkey as string) mem_id,
+select cast(c_custkey * 10 as string) loan_id,
+  case when c_custkey % 43 = 0 then null else cast(c_custkey as string) end mem_id,
   case when c_custkey % 41 = 0 then 'null' else cast(c_custkey * 2 as string) end def_id,
   cast(c_custkey % 7 as int) delinq_2yrs, cast(c_custkey % 100 as float) delinq_amnt,
   cast(c_custkey % 4 as int) pub_rec, cast(c_custkey % 3 as int) pub_rec_bankruptcies,
@@ -52,13 +59,15 @@ select cast(c_custkey * 10 as string) loan_id, cast(c_custkey as string) mem_id,
 from {customer}""",
     "investors": """
 select cast(o_orderkey * 3 + 1 as string) investor_loan_id, cast(o_orderkey as string) loan_id,
-  case when o_orderkey % 43 = 0 then null else cast(o_custkey as string) end investor_id,
+  case when o_orderkey % 43 = 0 then null when o_orderkey % 47 = 0 then 'null' else cast(o_custkey as string) end investor_id,
   cast(floor(o_totalprice) as float) loan_funded_amount,
   case when o_orderkey % 5 = 0 then 'null' else o_orderpriority end investor_type,
   cast(20 + o_orderkey % 50 as int) age, o_orderstatus state, 'US' country
 from {orders}""",
     "loans": """
-select cast(o_orderkey as string) loan_id, cast(o_custkey as string) mem_id, cast(o_custkey * 3 as string) acc_id,
+select cast(o_orderkey as string) loan_id,
+  case when o_orderkey % 37 = 0 then null else cast(o_custkey as string) end mem_id,
+  case when o_orderkey % 41 = 0 then 'null' else cast(o_custkey * 3 as string) end acc_id,
   o_totalprice loan_amt, cast(floor(o_totalprice) as double) fnd_amt,
   case o_orderkey % 3 when 0 then ' 36 months' when 1 then '60 months' else null end term,
   concat(cast(o_orderkey % 25 as string), '.5%') interest,
@@ -66,71 +75,82 @@ select cast(o_orderkey as string) loan_id, cast(o_custkey as string) mem_id, cas
   case when o_orderkey % 9 = 0 then 'null' else 'Current' end loan_status, o_orderpriority purpose,
   case when o_orderkey % 14 = 0 then 'null' else 'Debt' end title, 'Cash' disbursement_method
 from {orders}""",
-    "payments": """
-select cast(l_orderkey as string) loan_id, cast(o_custkey as string) mem_id,
-  concat(cast(l_orderkey as string), 'x', cast(l_partkey as string)) latest_transaction_id,
+    "payments": f"""
+select cast(l_orderkey as string) loan_id,
+  case when l_partkey % 31 = 0 then 'null' when l_linenumber = 1 then cast(o_custkey as string)
+    else {_alone("o_custkey", 1)} end mem_id,
+  case when l_partkey % 37 = 0 then null
+    else concat(cast(l_orderkey as string), 'x', cast(l_partkey as string)) end latest_transaction_id,
   l_extendedprice funded_amnt_inv, cast(floor(l_extendedprice * 0.5) as float) total_pymnt_rec,
   cast(l_quantity as float) installment,
   cast(case when l_suppkey % 6 = 5 then null else l_quantity * 0.5 end as float) last_pymnt_amnt,
   cast(l_shipdate as date) last_pymnt_d,
   case when l_partkey % 9 = 0 then null else cast(o_orderdate as date) end next_pymnt_d,
   case when l_partkey % 8 = 0 then 'null' else 'ACH' end pymnt_method
-from {lineitem} join {orders} on l_orderkey = o_orderkey where l_linenumber = 1""",
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
 }
 
 _INCIDENTS = """case {n} % 16 when 15 then null when 14 then -1 when 8 then 1 when 9 then 2 when 10 then 3
     when 11 then 4 when 12 then 5 when 13 then 6 else 0 end"""
 
 CLEANED = {
-    "customers": """
-select cast(c_custkey as string) member_id, c_name first_name, c_mktsegment last_name, n_name state, r_name country
-from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey
-where c_custkey % 13 <> 0""",
-    "payments": """
-select cast(o_custkey as string) member_id, l_extendedprice funded_amount_investor,
+    "customers": f"""
+select case when c_custkey % 13 = 0 then {_alone("c_custkey", 2)} else cast(c_custkey as string) end member_id,
+  c_name first_name, c_mktsegment last_name, n_name state, r_name country
+from {{customer}} join {{nation}} on c_nationkey = n_nationkey join {{region}} on n_regionkey = r_regionkey""",
+    "payments": f"""
+select case when o_custkey % 11 = 0 or l_linenumber > 2 then {_alone("o_custkey", 3)}
+    else cast(o_custkey as string) end member_id,
+  l_extendedprice funded_amount_investor,
   case when l_partkey % 7 = 0 then null when l_partkey % 7 = 1 then cast(0 as float)
     when l_partkey % 7 = 2 then cast(-1 as float)
     else cast(l_extendedprice * (l_partkey % 7) * 0.125 as float) end total_payment_recorded,
   cast(l_quantity as float) installment,
   case when l_suppkey % 6 = 5 then null when l_suppkey % 6 = 4 then cast(l_quantity as float)
     else cast(l_quantity * (l_suppkey % 6 + 1) * 0.4375 as float) end last_payment_amount
-from {lineitem} join {orders} on l_orderkey = o_orderkey where l_linenumber = 1 and o_custkey % 11 <> 0""",
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "defaulters": f"""
-select cast(c_custkey as string) member_id,
+select case when c_custkey % 10 = 3 then {_alone("c_custkey", 4)} else cast(c_custkey as string) end member_id,
   {_INCIDENTS.format(n="c_custkey")} defaulters_2yrs,
   {_INCIDENTS.format(n="(c_custkey * 5 + 2)")} public_records,
   {_INCIDENTS.format(n="(c_custkey * 7 + 1)")} public_records_bankruptcies,
   {_INCIDENTS.format(n="(c_custkey * 3 + 5)")} enquiries_6mnths,
   case c_custkey % 10 when 0 then 'Y' when 1 then null when 2 then 'U' else 'N' end hardship_flag
-from {{customer}} where c_custkey % 10 <> 3""",
-    "loans": """
-select cast(o_custkey as string) member_id, o_totalprice funded_amount,
+from {{customer}}""",
+    "loans": f"""
+select case when o_orderkey % 4 = 0 then cast(o_custkey as string) else {_alone("o_custkey", 5)} end member_id,
+  o_totalprice funded_amount,
   case o_orderkey % 9 when 0 then 'Fully Paid' when 1 then 'Current' when 2 then 'In Grace Period'
     when 3 then 'Late (16-30 days)' when 4 then 'Late (31-120 days)' when 5 then 'Charged Off' when 6 then 'Default'
     when 7 then null else 'Does not meet the credit policy. Status:Fully Paid' end loan_status
-from {orders} where o_orderkey % 4 = 0""",
-    "accounts": """
-select cast(c_custkey as string) member_id, substr('ABCDEFG', cast(c_custkey % 7 + 1 as int), 1) grade,
+from {{orders}}""",
+    "accounts": f"""
+select case when c_custkey % 17 = 0 then {_alone("c_custkey", 6)} else cast(c_custkey as string) end member_id,
+  substr('ABCDEFG', cast(c_custkey % 7 + 1 as int), 1) grade,
   concat(substr('ABCDEFG', cast((case when c_custkey % 23 = 0 then c_custkey + 1 else c_custkey end) % 7 + 1 as int), 1),
          cast(c_custkey % 5 + 1 as string)) sub_grade,
   case c_custkey % 8 when 0 then 'OWN' when 1 then 'RENT' when 2 then 'MORTGAGE' when 3 then 'ANY' when 4 then 'NONE'
     when 5 then null when 6 then 'Own' else 'MORTGAGE' end home_ownership,
   case when c_custkey % 19 = 0 then null else cast((abs(c_acctbal) + 100) * 200 as float) end total_high_credit_limit
-from {customer} where c_custkey % 17 <> 0""",
+from {{customer}}""",
 }
 
-# One member with a third of all payments and loans, and defaulter rows without a member id.
+# Member 1 has a third of all payments, member 2 many payments and many loans, whose product is large.
+# A third of the defaulter rows have no member id.
 HOT = {
     "customers": CLEANED["customers"],
     "payments": f"""
-select case when cast(member_id as int) % 3 = 0 then '1' else member_id end member_id,
+select case when cast(member_id as bigint) % 3 = 0 then '1' when cast(member_id as bigint) % 100 = 1 then '2'
+    else member_id end member_id,
   funded_amount_investor, total_payment_recorded, installment, last_payment_amount
 from ({CLEANED["payments"]}) p""",
     "defaulters": f"""
-select case when cast(member_id as int) % 3 = 0 then null else member_id end member_id,
+select case when cast(member_id as bigint) % 3 = 0 then null else member_id end member_id,
   defaulters_2yrs, public_records, public_records_bankruptcies, enquiries_6mnths, hardship_flag
 from ({CLEANED["defaulters"]}) d""",
-    "loans": CLEANED["loans"],
+    "loans": f"""
+select case when cast(member_id as bigint) % 400 = 1 then '2' else member_id end member_id, funded_amount, loan_status
+from ({CLEANED["loans"]}) l""",
     "accounts": f"""
 select case when member_id in ('300', '600', '900') then '1' else member_id end member_id,
   grade, sub_grade, home_ownership, total_high_credit_limit

@@ -5,6 +5,8 @@ Written apart from the library: rules are list lookups and ladders over plain nu
 
 from __future__ import annotations
 
+import re
+
 from workload import fixtures
 from workload.fixtures import as_oracle
 
@@ -33,6 +35,62 @@ _CUSTOMER_FIELDS = {
     "state": "case when c_custkey % 5 = 0 then ' NY' else 'CA' end",
     "country": "'US'",
 }
+_ACCOUNT_FIELDS = {
+    "acc_id": "cast(c_custkey as string)",
+    "mem_id": "case when c_custkey % 7 = 0 then '' else cast(c_custkey as string) end",
+    "loan_id": "case when c_custkey % 6 = 0 then ' L1' else 'L2' end",
+    "grade": "'A'",
+    "sub_grade": "'A1'",
+    "emp_title": "c_mktsegment || ', senior'",
+    "emp_length": "case when c_custkey % 5 = 0 then 'n/a' else '9 years' end",
+    "home_ownership": "case when c_custkey % 10 = 0 then '' else 'OWN' end",
+    "annual_inc": "case when c_custkey % 6 = 0 then 'abc' else cast(c_custkey as string) || '.5' end",
+    "verification_status": "'Verified'",
+    "tot_hi_cred_lim": "case when c_custkey % 8 = 0 then '1,5' else cast(c_custkey % 900 as string) end",
+    "application_type": "'Individual'",
+    "annual_inc_joint": "case when c_custkey % 9 = 0 then '12USD' else '' end",
+    "verification_status_joint": "'null'",
+}
+_DEFAULTER_FIELDS = {
+    "loan_id": "cast(c_custkey as string)",
+    "mem_id": "case when c_custkey % 7 = 0 then ' ' else 'M' end || cast(c_custkey as string)",
+    "def_id": "c_mktsegment || ', d'",
+    "delinq_2yrs": "case c_custkey % 5 when 0 then 'two' when 1 then '9999999999' else cast(c_custkey % 7 as string) end",
+    "delinq_amnt": "case when c_custkey % 6 = 0 then '' else cast(c_custkey % 100 as string) || '.25' end",
+    "pub_rec": "case when c_custkey % 4 = 0 then '3.0' else '1' end",
+    "pub_rec_bankruptcies": "cast(c_custkey % 3 as string)",
+    "inq_last_6mths": "case when c_custkey % 8 = 0 then 'x' else '-1' end",
+    "total_rec_late_fee": "case when c_custkey % 9 = 0 then 'abc' else '7' end",
+    "hardship_flag": "case when c_custkey % 10 = 0 then '' else 'N' end",
+    "hardship_type": "'null'",
+    "hardship_length": "case when c_custkey % 2 = 0 then '3' else '' end",
+    "hardship_amount": "case when c_custkey % 3 = 0 then '250' else '12USD' end",
+}
+_INVESTOR_FIELDS = {
+    "investor_loan_id": "cast(o_orderkey as string)",
+    "loan_id": "case when o_orderkey % 7 = 0 then '' else cast(o_custkey as string) end",
+    "investor_id": "case when o_orderkey % 4 = 0 then ' I' else 'I' end",
+    "loan_funded_amount": "case when o_orderkey % 6 = 0 then 'abc' else cast(o_custkey as string) || '.5' end",
+    "investor_type": "o_orderpriority || ', x'",
+    "age": "case o_orderkey % 9 when 0 then '12x' when 1 then '' when 2 then '99999999999' else cast(o_orderkey % 80 as string) end",
+    "state": "o_orderstatus",
+    "country": "case when o_orderkey % 5 = 0 then '' else 'US' end",
+}
+_LOAN_FIELDS = {
+    "loan_id": "cast(o_orderkey as string)",
+    "mem_id": "case when o_orderkey % 7 = 0 then '' else cast(o_custkey as string) end",
+    "acc_id": "case when o_orderkey % 4 = 0 then ' A' else 'A' end",
+    "loan_amt": "case when o_orderkey % 6 = 0 then 'abc' else cast(o_custkey as string) || '.5' end",
+    "fnd_amt": "case when o_orderkey % 8 = 0 then '1,5' else cast(o_orderkey % 900 as string) end",
+    "term": "case when o_orderkey % 3 = 0 then ' 36 months' else '60 months' end",
+    "interest": "cast(o_orderkey % 25 as string) || '.5%'",
+    "installment": "case when o_orderkey % 9 = 0 then '' else cast(o_orderkey % 90 as string) end",
+    "issue_date": "case o_orderkey % 10 when 0 then 'Jan-2018' when 1 then '31/12/1998' when 2 then '' else cast(cast(o_orderdate as date) as string) end",
+    "loan_status": "'Current'",
+    "purpose": "o_orderpriority",
+    "title": "'Debt'",
+    "disbursement_method": "case when o_orderkey % 5 = 0 then 'null' else 'Cash' end",
+}
 
 
 def _line(fields: dict[str, str], quoted: tuple[str, ...], short: str, long: str) -> str:
@@ -43,15 +101,34 @@ def _line(fields: dict[str, str], quoted: tuple[str, ...], short: str, long: str
     return f"case when {short} then {start} when {long} then {whole} || ',surplus' else {whole} end"
 
 
-_PAYMENT_SHORT, _PAYMENT_LONG = "o_orderkey % 11 = 0", "o_orderkey % 13 = 0"
-_CUSTOMER_SHORT, _CUSTOMER_LONG = "c_custkey % 11 = 0", "c_custkey % 13 = 0"
+# Fields, quoted ones, key whose multiples of 11 are short and of 13 long, source, types other than text.
+_FAULTY = {
+    "payments": (
+        _PAYMENT_FIELDS, ("latest_transaction_id", "total_pymnt_rec"), "o_orderkey", "orders",
+        {"funded_amnt_inv": "double", "last_pymnt_d": "date", "next_pymnt_d": "date",
+         **dict.fromkeys(("total_pymnt_rec", "installment", "last_pymnt_amnt"), "float")},
+    ),
+    "customers": (_CUSTOMER_FIELDS, ("lst_name",), "c_custkey", "customer", {"age": "integer"}),
+    "accounts": (
+        _ACCOUNT_FIELDS, ("emp_title", "tot_hi_cred_lim"), "c_custkey", "customer",
+        dict.fromkeys(("annual_inc", "tot_hi_cred_lim", "annual_inc_joint"), "float"),
+    ),
+    "defaulters": (
+        _DEFAULTER_FIELDS, ("def_id",), "c_custkey", "customer",
+        {**dict.fromkeys(("delinq_2yrs", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths", "hardship_length"), "integer"),
+         **dict.fromkeys(("delinq_amnt", "total_rec_late_fee", "hardship_amount"), "float")},
+    ),
+    "investors": (
+        _INVESTOR_FIELDS, ("investor_type",), "o_orderkey", "orders", {"loan_funded_amount": "float", "age": "integer"},
+    ),
+    "loans": (
+        _LOAN_FIELDS, ("fnd_amt",), "o_orderkey", "orders",
+        {"loan_amt": "double", "fnd_amt": "double", "installment": "float", "issue_date": "date"},
+    ),
+}
 FAULTY_LINES = {
-    "payments": "select "
-    + _line(_PAYMENT_FIELDS, ("latest_transaction_id", "total_pymnt_rec"), _PAYMENT_SHORT, _PAYMENT_LONG)
-    + " line from {orders}",
-    "customers": "select "
-    + _line(_CUSTOMER_FIELDS, ("lst_name",), _CUSTOMER_SHORT, _CUSTOMER_LONG)
-    + " line from {customer}",
+    name: f"select {_line(fields, quoted, f'{key} % 11 = 0', f'{key} % 13 = 0')} line from {{{source}}}"
+    for name, (fields, quoted, key, source, _) in _FAULTY.items()
 }
 
 
@@ -120,6 +197,8 @@ _KEY_PARTS = {
     "customers": ("customer_key", ("mem_id", "age", "state"), False),
     "defaulters": ("loan_defaulter_key", ("loan_id", "mem_id", "def_id"), False),
     "investors": ("investor_key", ("investor_loan_id", "loan_id", "investor_id"), False),
+    "loans": ("loan_key", ("loan_id", "mem_id", "acc_id"), False),
+    "payments": ("payment_key", ("loan_id", "mem_id", "latest_transaction_id"), False),
 }
 
 
@@ -239,26 +318,33 @@ _HOT_POINTS = _with_points({name: as_oracle(sql) for name, sql in fixtures.HOT.i
 _CSV_POINTS = _with_points({n: CLEAN[n] for n in fixtures.CLEANED})
 _GRADED = _POINTS + "select * from graded"
 
+OTHER_PARAMS = {
+    "very_bad": 110, "bad": 240, "good": 520, "very_good": 640, "excellent": 810,
+    "cut_f": 700, "cut_e": 1010, "cut_d": 1400, "cut_c": 2050, "cut_b": 2450,
+    "grade_a": "S", "grade_c": "T", "grade_f": "Z",
+}
+
+
+def _with_other_params() -> str:
+    """The graded rows with the numbers and letters of the rules replaced; the tables above them stay."""
+    tables, mark, rules = _GRADED.partition("pay as (")
+    other = OTHER_PARAMS
+    points = {"100": other["very_bad"], "250": other["bad"], "500": other["good"], "650": other["very_good"], "800": other["excellent"]}
+    rules = re.sub(r"(?<![\d.-])(100|250|500|650|800)(?![\d.])", lambda m: str(points[m[1]]), rules)
+    rules = rules.replace("[750, 1000, 1500, 2000, 2500]", str([other[f"cut_{c}"] for c in "fedcb"]))
+    letters = [other.get(f"grade_{c}", c.upper()) for c in "fedcba"]
+    return tables + mark + rules.replace("['F', 'E', 'D', 'C', 'B', 'A']", str(letters))
+
 _TABLE_ROWS = " union all ".join(
     f"select '{name}' \"table\", count(*) rows_written, 'Success' status from ({sql}) t"
     for name, sql in _RAW.items()
 )
 
 ORACLE_SQL = {
-    "csv_scan_typed": _parsed(
-        _PAYMENT_FIELDS,
-        {
-            "funded_amnt_inv": "double",
-            "total_pymnt_rec": "float",
-            "installment": "float",
-            "last_pymnt_amnt": "float",
-            "last_pymnt_d": "date",
-            "next_pymnt_d": "date",
-        },
-        _PAYMENT_SHORT,
-        "orders",
-    ),
-    "csv_scan_customers": _parsed(_CUSTOMER_FIELDS, {"age": "integer"}, _CUSTOMER_SHORT, "customer"),
+    **{
+        f"csv_scan_{'typed' if name == 'payments' else name}": _parsed(fields, types, f"{key} % 11 = 0", source)
+        for name, (fields, _, key, source, types) in _FAULTY.items()
+    },
     "landing_snapshot": f"""
         select *, '2024-05-01' landed_on from ({_RAW["loans"]}) r where cast(loan_id as bigint) % 2 <> 0
         union all select *, '2024-05-02' from ({_RAW["loans"]}) r""",
@@ -272,7 +358,9 @@ ORACLE_SQL = {
     "score_components": _POINTS + "select * from comp",
     "loan_score": _POINTS + "select * from scored",
     "loan_grade": _GRADED,
+    "loan_grade_params": _with_other_params(),
     "loan_grade_hot_member": _HOT_POINTS + "select * from graded",
+    "loan_grade_hot_product": _HOT_POINTS + "select * from graded",
     "payment_exceptions": _POINTS
     + "select * from pay where not coalesce(last_payment_pts = 500 and coalesce(total_payment_pts, 500) = 500, false)",
     "grade_b_members": _POINTS + "select * from graded where loan_final_grade = 'B'",

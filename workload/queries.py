@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from loanmeter import (
     TABLES,
     IngestConfig,
+    ScoreParams,
     ScoreTables,
     append_clean,
     clean,
@@ -90,7 +90,7 @@ def ingest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of rows with missing or "null" parts, per table, next to the raw parts."""
     parts = []
-    for name in ("accounts", "customers", "defaulters", "investors"):
+    for name in TABLES:
         spec = TABLES[name]
         rows = raw(spark, sf_dir, name)
         for part in spec.key_parts:
@@ -195,14 +195,26 @@ def loan_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score.score_members(score_tables(spark, sf_dir))
 
 
-def loan_grade_hot_member(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One member holds a third of the payments; the bounds are set low enough to notice."""
-    tables = score_tables(spark, sf_dir, fixtures.HOT)
-    return score.score_members(tables, policy=HOT_POLICY)
+def loan_grade_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores with other points, cuts and letters, set in the session."""
+    settings = {f"spark.loanmeter.{name}": str(value) for name, value in oracle.OTHER_PARAMS.items()}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        params = ScoreParams.from_conf(spark)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    return score.score_members(score_tables(spark, sf_dir), params)
 
 
-# The given tables are small: look at every key, and call a few hundred rows hot.
-HOT_POLICY = HotPolicy(sample=1.0, share=0.01, min_rows=200, cell_rows=5_000, max_cells=64)
+def _hot(policy: HotPolicy, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score.score_members(score_tables(spark, sf_dir, fixtures.HOT), policy=policy)
+
+
+# The given tables are small, so the bounds are set low enough to notice.
+HOT_BY_ROWS = HotPolicy(most_rows=500, most_output=5_000, max_cells=64)
+HOT_BY_PRODUCT = HotPolicy(most_rows=10_000_000, most_output=20_000, max_cells=64)
 
 
 def payment_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,10 +226,10 @@ def grade_b_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "published")
-    table = f"member_scores_{uuid.uuid4().hex}"
-    publish_scores(loan_grade(spark, sf_dir), table, path)
-    return spark.table(table)
+    """Under one name; a repeated run overwrites the table."""
+    path = scratch_folder(spark, "published").rpartition("-")[0]
+    publish_scores(loan_grade(spark, sf_dir), "member_scores_check", path, mode="overwrite")
+    return spark.table("member_scores_check")
 
 
 def distinct_experience(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +254,7 @@ def loans_36m_over_5pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "csv_scan_typed": partial(_scan, "payments"),
-    "csv_scan_customers": partial(_scan, "customers"),
+    **{f"csv_scan_{name}": partial(_scan, name) for name in TABLES if name != "payments"},
     "landing_snapshot": landing_snapshot,
     "parquet_append_twice": parquet_append_twice,
     **{f"clean_{name}": partial(_clean, name) for name in TABLES},
@@ -254,7 +266,9 @@ QUERIES = {
     "score_components": score_components,
     "loan_score": loan_score,
     "loan_grade": loan_grade,
-    "loan_grade_hot_member": loan_grade_hot_member,
+    "loan_grade_params": loan_grade_params,
+    "loan_grade_hot_member": partial(_hot, HOT_BY_ROWS),
+    "loan_grade_hot_product": partial(_hot, HOT_BY_PRODUCT),
     "payment_exceptions": payment_exceptions,
     "grade_b_members": grade_b_members,
     "publish_scores": published_scores,

@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, the shared folder the cluster names.
-
-    Only a local session without that setting gets a folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/loanmeter/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"run-{name}-")
+    """A new folder below the session's warehouse folder, which all executors share."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
