@@ -163,19 +163,20 @@ def mixed(
     """
     c = F.col
     cuts = _cuts(stored(_sized(docs), "sized"), weights, max_repeats)
-    plan = ["mix_source", "epochs", "cut_key", "cut_doc", "cut_words"]
-    cuts = cuts.withColumnRenamed("plan_source", "mix_source").select(*plan)
     before, at = _place(random_key(c("doc_id")), c("doc_id"))
     part = F.when(at, c("cut_words"))
     copies = F.when(words(c("text")) > 0, c("epochs") + (before | (at & (c("cut_words") > 0))).cast("bigint")).otherwise(0)
-    joined = docs.join(cuts, c("source").eqNullSafe(c("mix_source")))
+    # Packed, so that no column of theirs clashes with the plan's.
+    others = [name for name in docs.columns if name != "text"]
+    packed = docs.select(F.struct(*others).alias("doc"), "doc_id", "source", "text")
     each = (
-        joined.withColumn("mix_copies", copies)
-        .where(c("mix_copies") > 0)
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("bigint"), c("mix_copies"))))
+        packed.join(cuts, c("source").eqNullSafe(c("plan_source")))
+        .withColumn("copies", copies)
+        .where(c("copies") > 0)
+        .withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("bigint"), c("copies"))))
     )
-    text = F.when(at & (c("mix_epoch") > c("epochs")), first_words(c("text"), part)).otherwise(c("text"))
-    return each.withColumn("text", text).select(*docs.columns)
+    text = F.when(at & (c("epoch") > c("epochs")), first_words(c("text"), part)).otherwise(c("text"))
+    return each.select(*(text.alias("text") if name == "text" else c("doc")[name].alias(name) for name in docs.columns))
 
 
 def first_words(text: Column, n: Column) -> Column:
