@@ -8,7 +8,7 @@ whole corpus is out of reach, but nearly all suffixes can be ruled out first:
    ``reach / 2`` of them to one. The bytes behind the anchor that all its strings contain are its *key*.
 2. Anchors whose key occurs once are dropped. Counting is combined before the shuffle.
 3. The *block* of an anchor is everything its strings cover. Anchors with equal blocks match at all their
-   starts; one of them, the first, stands for all.
+   starts; one of them, the first, stands for all. Repeats inside one text are united before any shuffle.
 4. Different blocks under one key meet in one task. There the start positions are put into suffix
    order by prefix doubling, up to ``length`` bytes. Inside an LCP interval of that depth, the previous and the
    next position in text order tell whether a string has an earlier copy (a longest previous factor
@@ -45,7 +45,7 @@ ROW = "row_hash"
 @dataclass(frozen=True)
 class SpanRules:
     length: int = 400
-    reach: int = 256
+    reach: int = 320
     """Positions from the start of a string among which its anchor is sought; below ``length - 7``."""
     most_blocks: int = 10_000
     """Different blocks of one key that a task takes at most."""
@@ -64,11 +64,16 @@ def _same_row(left: DataFrame, right: DataFrame) -> Column:
     return (left[ROW] == right["of_row"]) & left["doc_id"].eqNullSafe(right["of_doc"])
 
 
-ANCHORS = "doc_id bigint, row_hash bigint, key bigint, block bigint, at bigint, first bigint, last bigint"
+ANCHORS = "doc_id bigint, row_hash bigint, key bigint, block bigint, times bigint, first bigint, last bigint"
 
 
 def _anchors(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
-    """One row per anchor: where it is, and the first and last start it is the anchor of."""
+    """One row per different block of a text: its key, how often the text has it, and the first and last
+    start of its strings, where it comes first.
+
+    What repeats inside the text, all but the first time, is known to go: the spans of it, united, are rows
+    without a key. So a line that fills a text gives a few rows.
+    """
     data, offsets = flat(part.column("text"))
     n, length, reach = len(data), rules.length, rules.reach
     starts = np.zeros(0, np.int64)
@@ -85,14 +90,31 @@ def _anchors(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     prefixes = prefix_hash(data)
     key = span_hash(prefixes, at, at + rules.key_bytes)
     block = span_hash(prefixes, first, last + length)
-    own = pa.array(text)
-    base = offsets[text]
+    scoped = mix(block) ^ mix(text.astype(np.uint64) + np.uint64(1))
+    _, once, times = np.unique(scoped, return_index=True, return_counts=True)
+    again = np.ones(len(at), bool)
+    again[once] = False
+    again = np.flatnonzero(again)
+    # Spans of a text come in order; those that touch are one.
+    begin, end = first[again], last[again] + length
+    apart = np.flatnonzero(np.r_[True, (begin[1:] > np.maximum.accumulate(end)[:-1])]) if len(again) else again
+    last_of = np.r_[apart[1:], len(again)].astype(np.int64)[: len(apart)] - 1
+    union_text, union_first = text[again][apart], begin[apart]
+    union_last = np.maximum.accumulate(end)[last_of] - length if len(again) else union_first
+    n_once, n_union = len(once), len(apart)
+    own_text = np.r_[text[once], union_text]
+    base = offsets[own_text]
+    own = pa.array(own_text)
+    no_key = np.r_[np.zeros(n_once, bool), np.ones(n_union, bool)]
+    pad = np.zeros(n_union, np.int64)
     return pa.record_batch(
         [
             part.column("doc_id").take(own),
             part.column(ROW).take(own),
-            *(pa.array(x.view(np.int64)) for x in (key, block)),
-            *(pa.array(x - base) for x in (at, first, last)),
+            *(pa.array(np.r_[x[once].view(np.int64), pad], mask=no_key) for x in (key, block)),
+            pa.array(np.r_[times, pad]),
+            pa.array(np.r_[first[once], union_first] - base),
+            pa.array(np.r_[last[once], union_last] - base),
         ],
         names=[c.split()[0] for c in ANCHORS.split(", ")],
     )
@@ -120,26 +142,32 @@ def repeated_spans(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame
     ``docs`` has ``doc_id``, ``text`` and the column of ``with_row_hash``. Spans may overlap.
     """
     c = F.col
-    texts = docs.select("doc_id", ROW, "text")
+    texts = docs.select("doc_id", "text", ROW)  # as in ``remaining_bytes``: one shuffle of texts serves both
     anchors = stored(texts.mapInArrow(mapped(lambda part: _anchors(part, rules)), ANCHORS), "anchors")
-    repeated = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    dup = stored(anchors.join(repeated, "key"), "repeated_anchors")
+    keyed = anchors.where(c("key").isNotNull())
+    repeated = keyed.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
+    dup = stored(keyed.join(repeated, "key"), "repeated_anchors")
 
-    place = F.struct("doc_id", ROW, "at", "first", "last")
-    blocks = stored(dup.groupBy("key", "block").agg(F.count("*").alias("copies"), F.min(place).alias("top")), "blocks")
+    place = F.struct("doc_id", ROW, "first", "last")
+    blocks = stored(dup.groupBy("key", "block").agg(F.sum("times").alias("copies"), F.min(place).alias("top")), "blocks")
     various = blocks.groupBy("key").agg(F.count("*").alias("variety")).where("variety > 1")
 
     shared = dup.join(blocks.where("copies > 1"), ["key", "block"])
     if rules.keep == "first":
         shared = shared.where(place != c("top"))
-    sure = shared.select(dup["doc_id"].alias("of_doc"), dup[ROW].alias("of_row"), c("first").alias("start"), (c("last") + rules.length).alias("end"))
+    sure = shared.select("doc_id", ROW, "first", "last").unionByName(
+        anchors.where(c("key").isNull()).select("doc_id", ROW, "first", "last")
+    )
+    sure = sure.select(
+        c("doc_id").alias("of_doc"), c(ROW).alias("of_row"), c("first").alias("start"), (c("last") + rules.length).alias("end")
+    )
 
     # The first of equal blocks is compared with the other blocks of its key.
     asked = (
         blocks.join(various, "key")
         .select("key", "variety", "copies", "top.*")
         .groupBy(c("doc_id").alias("of_doc"), c(ROW).alias("of_row"))
-        .agg(F.collect_set(F.struct("key", "variety", "copies", "at", "first", "last")).alias("asked"))
+        .agg(F.collect_set(F.struct("key", "variety", "copies", "first", "last")).alias("asked"))
     )
     cut = texts.join(asked, _same_row(texts, asked)).select("doc_id", ROW, "text", "asked")
     cut = cut.mapInArrow(mapped(lambda part: _cut_blocks(part, rules)), BLOCKS)
@@ -175,7 +203,7 @@ def _cut_blocks(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     )
 
 
-def _compare(batches, rules: SpanRules, most: int = 4 << 20):
+def _compare(batches, rules: SpanRules, most: int = 1 << 20):
     """Spans of blocks that come sorted by key. Keys stay whole; many are compared at once."""
     held, size = [], 0
     for batch in batches:
@@ -315,10 +343,13 @@ def without_repeats(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFram
         kept = _without(part)[0].to_pylist()
         null = part.column("text").is_null().to_pylist()
         text = pa.array([None if gone else b.decode(errors="ignore") for b, gone in zip(kept, null, strict=True)], pa.string())
-        columns = {name: part.column(name) for name in names} | {"text": text}
-        return pa.record_batch(list(columns.values()), names=list(columns))
+        columns = dict(zip(others, part.column("doc").flatten(), strict=True)) | {"text": text}
+        return pa.record_batch([columns[name] for name in names], names=names)
 
-    return _with_spans(with_row_hash(docs), rules).mapInArrow(mapped(kernel), docs.schema)
+    # Packed, so that no column of theirs clashes with the operator's.
+    others = [name for name in names if name != "text"]
+    packed = with_row_hash(docs.select("doc_id", "text", F.struct(*others).alias("doc")))
+    return _with_spans(packed, rules).mapInArrow(mapped(kernel), docs.schema)
 
 
 def _with_spans(docs: DataFrame, rules: SpanRules) -> DataFrame:
