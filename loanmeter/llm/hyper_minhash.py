@@ -11,9 +11,10 @@ margin of the estimate, five standard deviations, with less than 1e-6.
 
 Large groups are never expanded into pairs. Equal sets are one node. In the first round every node is compared with
 one node per band bucket, the one whose bands lie in the largest buckets, and linked with the best of them.
-Links make components. In the second round only nodes of different components in one bucket are
-compared, block against block where a bucket is large; what passes the estimate is verified and
-linked. All candidate pairs are thus either verified or already connected.
+Links make components. In the second round nodes of different components in one bucket are
+compared, block against block where a bucket is large: first by registers, to see who may have a partner
+at all, then on full sets, inside the task. Only links leave the task, one for each node and component, never
+candidate pairs. All candidate pairs are thus either verified or already connected.
 
 Edge cases: a null or empty text, or one without words, has an empty set and stays alone; fewer words than
 a shingle make one shingle; rows without an id are kept and belong to no component (null); rows that
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmeter.llm.arrow_text import flat, lower_ascii, mapped, mix, prefix_hash, span_hash, word_spans
+from loanmeter.llm.arrow_text import flat, gather_spans, lower_ascii, mapped, mix, prefix_hash, span_hash, word_spans
 from loanmeter.llm.components import components
 from loanmeter.llm.shared_tables import stored
 
@@ -47,7 +48,7 @@ class NearRules:
     bands: int = 16
     rows: int = 4
     least_estimate: float = 0.62
-    block: int = 2_000
+    block: int = 1_000
     """A larger bucket is compared block by block, each pair of blocks in a task of its own."""
 
     @property
@@ -152,9 +153,9 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
 
     links = stored(verified(_first_pairs(members, nodes, rules), texts, rules), "links")
     known = components(links)
-    more = stored(_cross_pairs(members, nodes, known, rules), "pairs")
-    if not more.isEmpty():
-        links = links.unionByName(verified(more, texts, rules))
+    open_ = stored(_open_members(members, nodes, known, rules), "open")
+    if not open_.isEmpty():
+        links = links.unionByName(stored(_cross_links(open_, texts, rules), "links"))
         known = components(links)
 
     placed = sets.join(known, "node", "left").select(*of_set, F.coalesce("component", "node").alias("component_id"))
@@ -216,68 +217,108 @@ def _registers(column: pa.Array) -> np.ndarray:
     return data.view(np.uint16).reshape(len(offsets) - 1, -1) if len(data) else np.zeros((0, 1), np.uint16)
 
 
-def _cross_pairs(members: DataFrame, nodes: DataFrame, known: DataFrame, rules: NearRules) -> DataFrame:
-    """Pairs of nodes that share a bucket, not a component, and may be linked."""
+GROUP = ("bucket", "low", "high")
+"""A bucket, or a pair of its blocks: what one task compares."""
+OPEN = "bucket bigint, low bigint, high bigint, is_low boolean, node bigint, component bigint"
+
+
+def _open_members(members: DataFrame, nodes: DataFrame, known: DataFrame, rules: NearRules) -> DataFrame:
+    """Nodes that may be linked with a node of another component in their group."""
     c = F.col
     labelled = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = labelled.join(mixed.where("low <> high").select("bucket"), "bucket").join(nodes, "node")
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+    several = labelled.join(mixed.where("first <> last").select("bucket"), "bucket").join(nodes, "node")
     blocks = F.ceil(c("bucket_size") / rules.block)
-    mine = F.pmod(F.xxhash64("node"), blocks)
     dealt = (
-        open_.withColumn("mine", mine)
+        several.withColumn("mine", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
         .withColumn("low", F.least("mine", "other"))
         .withColumn("high", F.greatest("mine", "other"))
-        .select("bucket", "low", "high", (c("mine") == c("low")).alias("is_low"), "node", "component", "n_shingles", "registers")
+        .select(*GROUP, (c("mine") == c("low")).alias("is_low"), "node", "component", "n_shingles", "registers")
     )
-    group = ["bucket", "low", "high"]
-    near = dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(
-        lambda batches: _compare(batches, rules), "a bigint, b bigint"
+    return _by_group(dealt).mapInArrow(lambda batches: _groups(batches, lambda g: _may_link(g, rules)), OPEN)
+
+
+def _cross_links(open_: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
+    """Links between components, verified on full sets."""
+    with_text = open_.join(texts.withColumnRenamed("doc_id", "node"), "node").select(*open_.columns, "text")
+    links = _by_group(with_text).mapInArrow(
+        lambda batches: _groups(batches, lambda g: _linked(g, rules)), "a bigint, b bigint"
     )
-    return near.distinct()
+    return links.distinct()
 
 
-def _compare(batches, rules: NearRules):
-    """Compare the rows of each group, a bucket or a pair of its blocks; a group is bounded by two blocks."""
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
+def _groups(batches, compare):
+    """Apply ``compare`` to the rows of each group; a group has two blocks of rows at most."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.column_stack([batch.column(x).to_numpy() for x in ("bucket", "low", "high")])
+        keys = np.column_stack([batch.column(x).to_numpy() for x in GROUP])
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
         for start, stop in zip(np.r_[0, cuts], np.r_[cuts, len(keys)], strict=True):
             piece = batch.slice(start, stop - start)
-            if held and not all(held[-1].column(x)[0] == piece.column(x)[0] for x in ("bucket", "low", "high")):
-                yield from _compare_group(held, rules)
+            if held and any(held[-1].column(x)[0] != piece.column(x)[0] for x in GROUP):
+                yield from compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
                 held = []
             held.append(piece)
     if held:
-        yield from _compare_group(held, rules)
+        yield from compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
-def _compare_group(pieces: list[pa.RecordBatch], rules: NearRules):
-    rows = pa.Table.from_batches(pieces).combine_chunks().to_batches()[0]
-    node, label, size = (rows.column(x).to_numpy() for x in ("node", "component", "n_shingles"))
-    registers = _registers(rows.column("registers"))
+def _partners(rows: pa.RecordBatch):
+    """Each row outside of the most frequent component, with the rows it is to be compared with.
+
+    A pair of two components has such a row, so no pair is missed.
+    """
+    label = rows.column("component").to_numpy()
     is_low = rows.column("is_low").to_numpy(zero_copy_only=False)
     one_block = rows.column("low")[0] == rows.column("high")[0]
     labels, which = np.unique(label, return_inverse=True)
     if len(labels) < 2:
         return
-    # A pair of two components has at most one row of the most frequent one.
-    rare = np.flatnonzero(which != np.bincount(which).argmax())
-    for i in rare:
+    for i in np.flatnonzero(which != np.bincount(which).argmax()):
         other = label != label[i]
-        if not one_block:
-            other &= is_low != is_low[i]
-        other &= 100 * np.minimum(size, size[i]) >= rules.percent * np.maximum(size, size[i])
-        at = np.flatnonzero(other)
+        yield i, other if one_block else other & (is_low != is_low[i])
+
+
+def _may_link(rows: pa.RecordBatch, rules: NearRules):
+    size = rows.column("n_shingles").to_numpy()
+    registers = _registers(rows.column("registers"))
+    near = np.zeros(len(size), bool)
+    for i, other in _partners(rows):
+        at = np.flatnonzero(other & (100 * np.minimum(size, size[i]) >= rules.percent * np.maximum(size, size[i])))
         similar = estimate(registers[at], registers[i], size[at].astype(float), float(size[i]))
         at = at[similar >= rules.least_estimate]
-        if len(at):
-            a, b = np.minimum(node[at], node[i]), np.maximum(node[at], node[i])
-            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+        near[at] = True
+        near[i] |= len(at) > 0
+    yield rows.select([x.split()[0] for x in OPEN.split(", ")]).filter(pa.array(near))
+
+
+def _linked(rows: pa.RecordBatch, rules: NearRules):
+    """Exact intersections of a row's set with all sets of the group, by an index from shingles to rows."""
+    value, of = shingle_sets(rows.column("text"), rules.shingle)
+    n = rows.num_rows
+    size = np.bincount(of, minlength=n)
+    first = np.cumsum(size) - size
+    _, shingle = np.unique(value, return_inverse=True)
+    holders = of[np.argsort(shingle, kind="stable")]
+    count = np.bincount(shingle)
+    begin = np.cumsum(count) - count
+    node, label = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+    found = []
+    for i, other in _partners(rows):
+        own = shingle[first[i] : first[i] + size[i]]
+        both = np.bincount(holders[gather_spans(begin[own], count[own])], minlength=n)
+        at = np.flatnonzero(other & (100 * both >= rules.percent * (size + size[i] - both)) & (both > 0))
+        at = at[np.unique(label[at], return_index=True)[1]]
+        found.append(np.column_stack([np.full(len(at), node[i]), node[at]]))
+    links = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    yield pa.record_batch([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
