@@ -1,6 +1,6 @@
 """Arrow text columns as flat byte arrays: the helpers that all text kernels share.
 
-A kernel works on a *slice* of a record batch: a few MB of whole texts in one byte array. Vector
+A kernel works on a *slice* of a record batch: about a MB of whole texts in one byte array. Vector
 operations then run over many short documents at once, and memory stays bounded by the longest text.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -91,7 +91,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base and of its inverse, modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 5 << 18)
         fills = []
         for base in (_BASE, _INVERSE):
             table = np.full(size, base, np.uint64)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from loanmeter.llm.arrow_text import flat, gather_spans, mapped, prefix_hash, span_hash
 from loanmeter.llm.perfect_hash import PerfectHash
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 CACHED = 1_000_000
 """Merged pre-tokens a task remembers at most; it forgets all and starts anew beyond."""
 
