@@ -33,7 +33,8 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy(F.col("u").alias("centre")).agg(F.min("v").alias("m"))
     moved = both.where("v > u").join(least, F.col("u") == F.col("centre"))
-    return moved.select(F.col("v").alias("u"), F.least("m", "centre").alias("v")).distinct()
+    # Repeats are left to the small star.
+    return moved.select(F.col("v").alias("u"), F.least("m", "centre").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -155,8 +155,8 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
     known = components(links)
     open_ = stored(_open_members(members, nodes, known, rules), "open")
     if not open_.isEmpty():
-        links = links.unionByName(stored(_cross_links(open_, texts, rules), "links"))
-        known = components(links)
+        # The components so far are stars: with the new links they take few rounds more.
+        known = components(known.toDF("a", "b").unionByName(_cross_links(open_, texts, rules)))
 
     placed = sets.join(known, "node", "left").select(*of_set, F.coalesce("component", "node").alias("component_id"))
     linked = c("doc_id").isNotNull() & (c("n_shingles") > 0)
