@@ -9,6 +9,11 @@ from loanmeter.llm import byte_bpe, hyper_minhash, repetition, source_mixing, sp
 from loanmeter.llm.queries import RANKS, table
 from loanmeter.llm.shared_tables import stored
 
+PASSAGES = (
+    span_dedup.SpanRules(keep="first"),
+    span_dedup.SpanRules(words=True, length=50, reach=40, keep="first"),
+)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
@@ -23,10 +28,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur elsewhere; the first copy of a passage stays.
 
-    A document keeps its row even if nothing of its text is left.
+    A passage has 50 words or more, however short they are, or 400 bytes or more, however few words (texts
+    without blanks). A document keeps its row even if nothing of its text is left.
     """
-    rules = span_dedup.SpanRules(keep="first")
-    return span_dedup.without_repeats(docs, rules).withColumn("n_chars", F.length("text").cast("bigint"))
+    return span_dedup.without_repeats(docs, *PASSAGES).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

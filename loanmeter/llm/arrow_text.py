@@ -102,9 +102,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Hashes of all prefixes; with them any span is hashed in constant time."""
+    """Hashes of all prefixes of bytes or of 64-bit hashes; with them any span is hashed in constant time."""
+    values = _BYTE[data] if data.dtype == np.uint8 else data
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(len(data))[0], out=out[1:])
+    np.cumsum(values * powers(len(data))[0], out=out[1:])
     return out
 
 

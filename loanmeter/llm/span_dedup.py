@@ -20,6 +20,9 @@ smaller ``(doc_id, row hash, position)``.
 Keys with more than ``most_blocks`` different blocks are not gathered in a task: their strings are counted one by
 one by a shuffled aggregation instead.
 
+With ``words`` the same is done over the words of a text, each one symbol, the hash of its bytes; ``length`` and
+``reach`` then count words, and white space may differ. A span of words goes up to the start of the next word.
+
 Edge cases: null and empty texts lose nothing (null counts as empty); texts shorter than ``length`` likewise; rows
 with the same id and text are copies of each other, rows with the same id and other text are told apart
 by a hash of the text; a null id is an id of its own; extra columns are kept by ``without_repeats`` and
@@ -28,6 +31,7 @@ otherwise ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanmeter.llm.arrow_text import flat, gather_spans, mapped, mix, prefix_hash, slices, span_hash
+from loanmeter.llm.arrow_text import flat, gather_spans, mapped, mix, prefix_hash, slices, span_hash, word_spans
 from loanmeter.llm.shared_tables import stored
 
 GRAM = 8
@@ -50,9 +54,11 @@ class SpanRules:
     most_blocks: int = 10_000
     """Different blocks of one key that a task takes at most."""
     keep: str = "none"
+    words: bool = False
+    """Whether ``length`` and ``reach``, which is then below ``length``, count words instead of bytes."""
 
     @property
-    def key_bytes(self) -> int:
+    def key_length(self) -> int:
         return self.length - self.reach + 1
 
 
@@ -64,6 +70,20 @@ def _same_row(left: DataFrame, right: DataFrame) -> Column:
     return (left[ROW] == right["of_row"]) & left["doc_id"].eqNullSafe(right["of_doc"])
 
 
+def _symbols(texts: pa.Array, rules: SpanRules) -> tuple[np.ndarray, np.ndarray]:
+    """All texts as one array of bytes or word hashes, and where each one starts and ends."""
+    if not rules.words:
+        return flat(texts)
+    data, offsets = flat(texts, b"\n")
+    starts, ends, _ = word_spans(data, offsets)
+    return span_hash(prefix_hash(data), starts, ends), np.searchsorted(starts, offsets)
+
+
+def _block_symbols(blocks: pa.Array, rules: SpanRules) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = flat(blocks)
+    return (data.view(np.uint64), offsets // 8) if rules.words else (data, offsets)
+
+
 ANCHORS = "doc_id bigint, row_hash bigint, key bigint, block bigint, times bigint, first bigint, last bigint"
 
 
@@ -74,7 +94,7 @@ def _anchors(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     What repeats inside the text, all but the first time, is known to go: the spans of it, united, are rows
     without a key. So a line that fills a text gives a few rows.
     """
-    data, offsets = flat(part.column("text"))
+    data, offsets = _symbols(part.column("text"), rules)
     n, length, reach = len(data), rules.length, rules.reach
     starts = np.zeros(0, np.int64)
     if n >= length:
@@ -88,7 +108,7 @@ def _anchors(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     first, last = starts[new], starts[np.r_[new[1:], len(starts)] - 1]
     at, text = anchor[new], of[new]
     prefixes = prefix_hash(data)
-    key = span_hash(prefixes, at, at + rules.key_bytes)
+    key = span_hash(prefixes, at, at + rules.key_length)
     block = span_hash(prefixes, first, last + length)
     scoped = mix(block) ^ mix(text.astype(np.uint64) + np.uint64(1))
     _, once, times = np.unique(scoped, return_index=True, return_counts=True)
@@ -123,8 +143,11 @@ def _anchors(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
 def _smallest(data: np.ndarray, reach: int) -> np.ndarray:
     """For each position, that of the smallest gram hash among the next ``reach`` ones, leftmost if tied."""
     n = len(data)
-    padded = np.r_[data, np.zeros(GRAM, np.uint8)]
-    grams = np.ndarray((n,), "<u8", padded, strides=(1,))
+    if data.dtype == np.uint8:
+        padded = np.r_[data, np.zeros(GRAM, np.uint8)]
+        grams = np.ndarray((n,), "<u8", padded, strides=(1,))
+    else:
+        grams = data
     place_bits = np.uint64(max(1, int(n).bit_length()))
     width = -(-n // reach) * reach
     value = np.full(width + reach, np.iinfo(np.uint64).max, np.uint64)
@@ -139,7 +162,8 @@ def _smallest(data: np.ndarray, reach: int) -> np.ndarray:
 def repeated_spans(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame:
     """``of_doc, of_row, spans``: for each row of ``docs`` with repeats, the byte spans to remove.
 
-    ``docs`` has ``doc_id``, ``text`` and the column of ``with_row_hash``. Spans may overlap.
+    ``docs`` has ``doc_id``, ``text`` and the column of ``with_row_hash``. Spans may overlap. With ``words`` they
+    are spans of words.
     """
     c = F.col
     texts = docs.select("doc_id", "text", ROW)  # as in ``remaining_bytes``: one shuffle of texts serves both
@@ -186,7 +210,7 @@ SPANS = 'of_doc bigint, of_row bigint, start bigint, end bigint'
 
 def _cut_blocks(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     """The bytes of the asked blocks."""
-    data, offsets = flat(part.column("text"))
+    data, offsets = _symbols(part.column("text"), rules)
     asked = part.column("asked")
     counts = asked.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     items = asked.flatten()
@@ -194,7 +218,7 @@ def _cut_blocks(part: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     field = {name: items.field(name).to_numpy() for name in ("key", "variety", "copies", "first", "last")}
     size = field["last"] + rules.length - field["first"]
     blob = data[gather_spans(offsets[text] + field["first"], size)]
-    ends = np.r_[0, np.cumsum(size)].astype(np.int32)
+    ends = (np.r_[0, np.cumsum(size)] * data.itemsize).astype(np.int32)
     block = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(blob.tobytes())])
     own = pa.array(text)
     return pa.record_batch(
@@ -229,7 +253,7 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def _removed(rows: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     """One span per block that has repeats: all its strings contain the anchor, so their union is one span."""
-    data, offsets = flat(rows.column("block"))
+    data, offsets = _block_symbols(rows.column("block"), rules)
     first, last, copies = (rows.column(x).to_numpy() for x in ("first", "last", "copies"))
     count = last - first + 1
     starts = gather_spans(offsets[:-1], count)
@@ -290,7 +314,7 @@ def _counted(blocks: DataFrame, rules: SpanRules) -> DataFrame:
     """Spans of blocks of very frequent keys: strings are counted over the cluster, by their hash."""
 
     def kernel(part: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets = flat(part.column("block"))
+        data, offsets = _block_symbols(part.column("block"), rules)
         first, last = (part.column(x).to_numpy() for x in ("first", "last"))
         count = last - first + 1
         starts = gather_spans(offsets[:-1], count)
@@ -335,8 +359,8 @@ def remaining_bytes(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFram
     return _with_spans(texts, rules).mapInArrow(mapped(kernel), schema)
 
 
-def without_repeats(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame:
-    """The documents with the remaining text. Bytes that no longer make a character go too."""
+def without_repeats(docs: DataFrame, *rules: SpanRules) -> DataFrame:
+    """The documents with the text that no rule removes. Bytes that no longer make a character go too."""
     names = docs.columns
 
     def kernel(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -349,23 +373,39 @@ def without_repeats(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFram
     # Packed, so that no column of theirs clashes with the operator's.
     others = [name for name in names if name != "text"]
     packed = with_row_hash(docs.select("doc_id", "text", F.struct(*others).alias("doc")))
-    return _with_spans(packed, rules).mapInArrow(mapped(kernel), docs.schema)
+    return _with_spans(packed, *rules or [SpanRules()]).mapInArrow(mapped(kernel), docs.schema)
 
 
-def _with_spans(docs: DataFrame, rules: SpanRules) -> DataFrame:
-    spans = repeated_spans(docs, rules)
-    return docs.join(spans, _same_row(docs, spans), "left").drop("of_doc", "of_row")
+def _with_spans(docs: DataFrame, *rules: SpanRules) -> DataFrame:
+    """The rows with a column of spans for each rule, ``spans0`` and so on, or ``words0`` if they are of words."""
+    out = docs
+    for i, some in enumerate(rules):
+        spans = repeated_spans(docs, some).withColumnRenamed("spans", f"{'words' if some.words else 'spans'}{i}")
+        out = out.join(spans, _same_row(out, spans), "left").drop("of_doc", "of_row")
+    return out
 
 
 def _without(part: pa.RecordBatch) -> list[pa.Array]:
     data, offsets = flat(part.column("text"))
-    spans = part.column("spans")
-    counts = np.nan_to_num(spans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-    text = np.repeat(np.arange(part.num_rows), counts)
-    items = spans.flatten()
     step = np.zeros(len(data) + 1, np.int64)
-    np.add.at(step, offsets[text] + items.field("start").to_numpy(), 1)
-    np.add.at(step, offsets[text] + items.field("end").to_numpy(), -1)
+    for name in part.schema.names:
+        if not re.fullmatch(r"(spans|words)\d+", name):
+            continue
+        spans = part.column(name)
+        counts = np.nan_to_num(spans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        text = np.repeat(np.arange(part.num_rows), counts)
+        items = spans.flatten()
+        start, end = (items.field(x).to_numpy() for x in ("start", "end"))
+        if name.startswith("words"):
+            # Where each word starts, and behind the last one the end of its text.
+            white, ends = flat(part.column("text"), b"\n")
+            starts = word_spans(white, ends)[0]
+            first = np.searchsorted(starts, ends)
+            place = np.insert(starts, first[1:], ends[1:] - 1)
+            first += np.arange(len(first))
+            start, end = (place[first[text] + x] - ends[text] for x in (start, end))
+        np.add.at(step, offsets[text] + start, 1)
+        np.add.at(step, offsets[text] + end, -1)
     gone = np.cumsum(step)[:-1] > 0
     begins = gone.copy()
     begins[1:] &= ~gone[:-1]
