@@ -9,6 +9,9 @@ from loanmeter.llm import byte_bpe, hyper_minhash, repetition, source_mixing, sp
 from loanmeter.llm.queries import RANKS, table
 from loanmeter.llm.shared_tables import stored
 
+NEAR = hyper_minhash.NearRules(shingle=5, percent=80, bands=24, least_estimate=0.57)
+"""At the threshold a pair shares no band with a chance of 3e-6, and is below the least estimate with less than 1e-6."""
+
 PASSAGES = (
     span_dedup.SpanRules(keep="first"),
     span_dedup.SpanRules(words=True, length=50, reach=40, keep="first"),
@@ -22,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return hyper_minhash.keep_one(docs)
+    return hyper_minhash.keep_one(docs, NEAR)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,42 @@ def test_passages_against_all_strings(spark):
     rows = [((r.doc_id, r.row_hash), r.text) for r in with_row_hash(docs).collect()]
     found = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()}
     assert found == without_passages(rows) and sum(found[i] != t for i, t in enumerate(texts)) > 20
+
+
+def linked_at_five_words(rows):
+    """Ids that stay if texts are linked at four fifths of their five-word shingles, by comparing all pairs."""
+    sets, top = [(i, plain.shingles(t, 5)) for i, t in rows], {i: i for i, _ in rows}
+
+    def find(x):
+        return x if top[x] == x else find(top[x])
+
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                top[y] = x
+    return {i for i in top if find(i) == i}
+
+
+def test_near_copies_at_five_words(spark):
+    base, other = invented(200, 200), invented(201, 200)
+    changed = [w if i not in (20, 60, 100, 140, 180) else "changed" for i, w in enumerate(other)]
+    rows = [
+        (0, " ".join(base)), (1, " ".join(base + invented(202, 42))),  # 0.82 at both sizes: a near copy
+        (2, " ".join(other)), (3, " ".join(changed)),  # 0.86 at three words, 0.77 at five: not one
+    ]
+    own = random.Random(9)
+    for group in range(6):
+        words = invented(210 + group, 150)
+        for _ in range(12):
+            places = own.sample(range(150), own.randint(0, 4))
+            rows.append((len(rows), " ".join("x" + w if i in places else w for i, w in enumerate(words)) + " end" * own.randint(0, 1)))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], COLUMNS).repartition(3)
+    found = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert found == linked_at_five_words(rows) and 1 not in found and {0, 2, 3} <= found
+
+
+def test_near_copies_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert not found & {255, 875} and {372, 452, 571, 952} <= found
