@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmeter.llm import (
-    byte_bpe, context_mixing, html_layout, hyper_minhash, prefix_forest, repetition, rule_ensemble, source_mixing, span_dedup, zstd_language,
+    byte_bpe, context_mixing, html_layout, hyper_minhash, importance, line_runs, periodic_runs, prefix_forest, repetition, rule_ensemble,
+    source_mixing, span_dedup, zstd_language,
 )
 from loanmeter.llm.shared_tables import stored
 
@@ -84,6 +85,32 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_runs.without_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.word_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "top.start",
+        (-F.col("top.less")).alias("length"),
+        "top.period",
+        F.expr("-1000 * top.less div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_quality_rules": op2_quality_rules,
@@ -95,6 +122,9 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_importance": op13_importance,
 }
 
 ORACLE_SQL = {
@@ -131,5 +161,23 @@ placed as (
   from sized s join plans p on s.source is not distinct from p.source)
 select doc_id, size, source_size, target,
   cast(epochs * size + greatest(0, least(size, rest - start)) as bigint) taken from placed
+""",
+    "op11_line_dedup": """
+with texts as (
+  select row_number() over () r, doc_id, string_split(coalesce(text, ''), chr(10)) lines from documents),
+numbered as (
+  select r, doc_id, i, lines[i] as line,
+    translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
+  from (select r, doc_id, lines, unnest(range(1, len(lines) + 1)) i from texts)),
+shared as (
+  select line_key, max(doc_id) top from (select distinct r, doc_id, line_key from numbered where length(line_key) >= 40)
+  group by line_key having count(*) >= 5),
+marked as (
+  select n.*, s.line_key is not null and n.doc_id is distinct from s.top gone
+  from numbered n left join shared s on n.line_key = s.line_key)
+select min(doc_id) doc_id, count(*) n_lines, cast(sum(cast(gone as int)) as bigint) n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) kept_sha256
+from marked group by r
 """,
 }

@@ -31,3 +31,18 @@ def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
     shuffled, and adaptive execution splits what is skewed. ``df`` should be stored: it is read twice.
     """
     return F.broadcast(df) if df.count() <= most_rows else df
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, times: str, most: int = 20_000) -> DataFrame:
+    """Inner join of ``rows`` with a stored ``table`` that has one row per ``key`` and in ``times`` how often it occurs.
+
+    At most ``most`` keys can have a ``most``-th of all occurrences each: they are broadcast, so that no hot key is
+    shuffled. Every other key is rare, and a shuffled join has no large group. ``rows`` is read twice.
+    """
+    c = F.col
+    everything = table.agg(F.coalesce(F.sum(times), F.lit(0))).first()[0]
+    hot = c(times).cast("decimal(38,0)") * most >= F.lit(everything)
+    often = F.broadcast(table.where(hot))
+    direct = rows.join(often, key)
+    rest = rows.join(often.select(key), key, "left_anti").join(table.where(~hot), key)
+    return direct.unionByName(rest.select(direct.columns))
