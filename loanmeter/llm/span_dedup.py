@@ -10,9 +10,9 @@ whole corpus is out of reach, but nearly all suffixes can be ruled out first:
 3. The *block* of an anchor is everything its strings cover. Anchors with equal blocks match at all their
    starts; one of them, the first, stands for all. Repeats inside one text are united before any shuffle.
 4. Different blocks under one key meet in one task. There the start positions are put into suffix
-   order by prefix doubling, up to ``length`` bytes. Inside an LCP interval of that depth, the previous and the
-   next position in text order tell whether a string has an earlier copy (a longest previous factor
-   of at least ``length``) or a later one.
+   order by prefix doubling, with the LCP of neighbours. The nearest start before and the nearest behind in suffix
+   order that come earlier in the corpus give each start's longest previous factor, and in the mirror its longest factor
+   that comes again. One of ``length`` bytes or more tells that the string has an earlier, or a later copy.
 
 With ``keep="first"`` only strings with an earlier copy go; with ``keep="none"`` all copies go. Earlier means
 smaller ``(doc_id, row hash, position)``.
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from loanmeter.llm.arrow_text import flat, gather_spans, mapped, mix, prefix_hash, slices, span_hash, word_spans
 from loanmeter.llm.shared_tables import stored
+from loanmeter.llm.suffix_order import previous_factors, sparse_suffix_array
 
 GRAM = 8
 ROW = "row_hash"
@@ -258,18 +259,17 @@ def _removed(rows: pa.RecordBatch, rules: SpanRules) -> pa.RecordBatch:
     count = last - first + 1
     starts = gather_spans(offsets[:-1], count)
     block = np.repeat(np.arange(rows.num_rows), count)
-    interval = _interval(data, starts, rules.length)
+    suffixes, lcp = sparse_suffix_array(data, starts, rules.length)
     # Text order of the starts: by row, then by position.
     order = np.lexsort((first, rows.column(ROW).to_numpy(), np.asarray(rows.column("doc_id").fill_null(-(1 << 63)))))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    position = rank[block] * (int(count.max()) + 1) + starts - offsets[block]
-    sort = np.lexsort((position, interval))
-    same = interval[sort][1:] == interval[sort][:-1]
+    position = (rank[block] * (int(count.max()) + 1) + starts - offsets[block])[suffixes]
     gone = np.zeros(len(starts), bool)
-    gone[sort[1:]] |= same  # it has a previous smaller position in its interval
+    gone[suffixes] = previous_factors(position, lcp) >= rules.length
     if rules.keep == "none":
-        gone[sort[:-1]] |= same  # or a next one
+        # The mirror: longest factors that come again later.
+        gone[suffixes] |= previous_factors(-position, lcp) >= rules.length
         gone |= copies[block] > 1
     return _hull(rows, block[gone], (starts - offsets[block])[gone], first, rules)
 
@@ -291,22 +291,6 @@ def _hull(rows, block, start, first, rules: SpanRules) -> pa.RecordBatch:
     )
 
 
-def _interval(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Number of the LCP interval of depth ``length`` that each start belongs to, by prefix doubling."""
-    width = max(1, length // 8)
-    at = np.arange(len(data) - width + 1)
-    rank = np.unique(span_hash(prefix_hash(data), at, at + width), return_inverse=True)[1]
-    while 2 * width <= length // 2:
-        rank = np.unique(rank[:-width] * np.int64(len(data)) + rank[width:], return_inverse=True)[1]
-        width *= 2
-    # The last rounds are for the starts alone; strings of half the length overlap as needed.
-    steps = [*range(0, length - width, width), length - width]
-    out = rank[starts]
-    for step in steps[1:]:
-        out = np.unique(out * np.int64(len(data) + 1) + rank[starts + step], return_inverse=True)[1]
-    return out
-
-
 STRINGS = "string bigint, doc_id bigint, row_hash bigint, copies bigint, start bigint, first bigint, last bigint"
 
 
