@@ -9,10 +9,15 @@ the document at the cut still gives. Applying it to the documents needs no shuff
 Targets share the words of all sources by weight. A source is never repeated more than ``max_repeats``
 times: what exceeds that is shared by the others by weight, until nobody is above.
 
-Edge cases: a null or empty text has size 0 and gives nothing; a null source is a source, last in order;
-rows with the same doc_id stand at the same place, and if the cut falls there, each of them is cut
-alike; texts of any length are counted whole; extra columns of the input pass through ``mixed`` and are
-not looked at; an empty table gives an empty result.
+Rows with the same doc_id have the same key and are ordered by a hash of their text. Equal rows stand at one place, as a
+group with a number of copies: if the cut falls there, they are numbered, the first ones are taken whole, one is cut, and
+the others give nothing. The group is counted before it is ordered, so a row that fills a third of the table is one row of
+a sort; it is numbered within the parts it is stored in.
+
+Edge cases: a null or empty text has size 0 and gives nothing; a null source is a source, last in order; a null id is an
+id like others; for repeated ids and rows the words taken still add up to the target of the source, rounded, and no row gives more
+than ``max_repeats`` times its size; texts of any length are counted whole; extra columns of the input pass through
+``mixed`` and are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +44,11 @@ def random_key(doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("bigint")
 
 
+def text_key(text: Column) -> Column:
+    """Tells apart rows with the same id: a whole number below 2**52 that depends on the text alone."""
+    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 13), 16, 10).cast("bigint")
+
+
 def source_targets(
     sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS
 ) -> DataFrame:
@@ -77,8 +87,8 @@ def source_cuts(
 ) -> DataFrame:
     """One row per source: its target, full epochs, and where the last epoch ends.
 
-    ``sized`` has ``doc_id, source, size, key``. Documents with a key below ``cut_key``, or the same key
-    and a smaller id, are taken once more; the document at the cut gives ``cut_words``.
+    ``sized`` has ``doc_id, source, size, key, content``. Documents that come before ``(cut_key, cut_doc, cut_content)`` are
+    taken once more; the equal rows there give ``cut_words`` together.
     """
     c = F.col
     budget = F.floor(c("target") + 0.5).cast("bigint")
@@ -97,7 +107,7 @@ def source_cuts(
     dealt = (
         sized.join(plans.select("plan_source", "ranges"), of_source)
         .withColumn("range", in_range)
-        .select("doc_id", "source", "size", "key", "range")
+        .select("doc_id", "source", "size", "key", "content", "range")
     )
     before_range = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ending = (
@@ -108,34 +118,66 @@ def source_cuts(
         .where((c("before") <= c("rest")) & (c("rest") < c("before") + c("range_size")))
         .select(c("source").alias("cut_source"), c("range").alias("cut_range"), "before", "rest")
     )
-    before_row = Window.partitionBy("source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before_row = Window.partitionBy("source").orderBy("key", "doc_id", "content").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         dealt.join(ending, c("source").eqNullSafe(c("cut_source")) & (c("range") == c("cut_range")))
+        .groupBy("source", "cut_source", "before", "rest", "key", "doc_id", "content")
+        .agg(F.sum("size").alias("size"))
         .withColumn("start", c("before") + F.coalesce(F.sum("size").over(before_row), F.lit(0)))
         .where((c("start") <= c("rest")) & (c("rest") < c("start") + c("size")))
-        .select("cut_source", c("key").alias("cut_key"), c("doc_id").alias("cut_doc"), (c("rest") - c("start")).alias("cut_words"))
+        .select(
+            "cut_source", c("key").alias("cut_key"), c("doc_id").alias("cut_doc"), c("content").alias("cut_content"),
+            (c("rest") - c("start")).alias("cut_words"),
+        )
     )
     return (
         plans.join(cut, c("plan_source").eqNullSafe(c("cut_source")), "left")
-        .select("plan_source", "source_size", "target", "epochs", "cut_key", "cut_doc", "cut_words")
+        .select("plan_source", "source_size", "target", "epochs", "cut_key", "cut_doc", "cut_content", "cut_words")
     )
 
 
-def _place(key: Column, doc_id: Column) -> tuple[Column, Column]:
-    """Whether a document comes before the cut, and whether it is the one at the cut."""
-    at = (key == F.col("cut_key")) & doc_id.eqNullSafe(F.col("cut_doc"))
+def _place() -> tuple[Column, Column]:
+    """Whether a document comes before the cut, and whether it is one of those at the cut."""
+    c = F.col
+    same_key = c("key") == c("cut_key")
+    same_doc = c("doc_id").eqNullSafe(c("cut_doc"))
     # Nulls sort first in a window.
-    smaller = (doc_id < F.col("cut_doc")) | (doc_id.isNull() & F.col("cut_doc").isNotNull())
-    before = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & smaller)
+    smaller = (c("doc_id") < c("cut_doc")) | (c("doc_id").isNull() & c("cut_doc").isNotNull())
+    smaller = F.coalesce(smaller, F.lit(False)) | (same_doc & (c("content") < c("cut_content")))
+    before = (c("key") < c("cut_key")) | (same_key & smaller)
+    at = same_key & same_doc & (c("content") == c("cut_content"))
     return F.coalesce(before, F.lit(False)), F.coalesce(at, F.lit(False))
 
 
+def _last_epoch(placed: DataFrame) -> DataFrame:
+    """Adds ``last``, the words that the last epoch takes of each row, to rows joined with their source's cut."""
+    c = F.col
+    before, at = _place()
+    whole = placed.where(~at).withColumn("last", F.when(before, c("size")).otherwise(F.lit(0)).cast("bigint"))
+    # The rows at the cut are numbered: within the part of the table they stand in, and on from the parts before.
+    rows = placed.where(at).withColumn("cut_row", F.monotonically_increasing_id())
+    rows = stored(rows.withColumn("cut_part", F.shiftright("cut_row", 33)), "rows_at_cut")
+    earlier = Window.partitionBy("of_source").orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        rows.groupBy(c("plan_source").alias("of_source"), c("cut_part").alias("of_part"))
+        .agg(F.count("*").alias("part_rows"))
+        .withColumn("earlier", F.coalesce(F.sum("part_rows").over(earlier), F.lit(0)))
+    )
+    inside = Window.partitionBy("plan_source", "cut_part").orderBy("cut_row")
+    nth = c("earlier") + F.row_number().over(inside) - 1
+    left = c("cut_words") - nth * c("size")
+    cut = rows.join(parts, c("plan_source").eqNullSafe(c("of_source")) & (c("cut_part") == c("of_part"))).withColumn(
+        "last", F.greatest(F.lit(0), F.least(c("size"), left)).cast("bigint")
+    )
+    return whole.unionByName(cut.select(whole.columns))
+
+
 def _cuts(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
     return broadcast_if_small(stored(source_cuts(sized, weights, max_repeats), "cuts"), MOST_BROADCAST)
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    sized = docs.select("doc_id", "source", words(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", words(F.col("text")).alias("size"), text_key(F.col("text")).alias("content"))
     return sized.withColumn("key", random_key(F.col("doc_id")))
 
 
@@ -145,13 +187,9 @@ def mix_sizes(
     """``doc_id, source, size, source_size, target, taken``: the words the mix takes of each document."""
     c = F.col
     sized = stored(_sized(docs), "sized")
-    before, at = _place(c("key"), c("doc_id"))
-    last = F.when(before, c("size")).when(at, c("cut_words")).otherwise(F.lit(0))
-    return (
-        sized.join(_cuts(sized, weights, max_repeats), c("source").eqNullSafe(c("plan_source")))
-        .withColumn("taken", (c("epochs") * c("size") + last).cast("bigint"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
-    )
+    placed = sized.join(_cuts(sized, weights, max_repeats), c("source").eqNullSafe(c("plan_source")))
+    taken = (c("epochs") * c("size") + c("last")).cast("bigint")
+    return _last_epoch(placed).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed(
@@ -163,19 +201,21 @@ def mixed(
     """
     c = F.col
     cuts = _cuts(stored(_sized(docs), "sized"), weights, max_repeats)
-    before, at = _place(random_key(c("doc_id")), c("doc_id"))
-    part = F.when(at, c("cut_words"))
-    copies = F.when(words(c("text")) > 0, c("epochs") + (before | (at & (c("cut_words") > 0))).cast("bigint")).otherwise(0)
     # Packed, so that no column of theirs clashes with the plan's.
     others = [name for name in docs.columns if name != "text"]
-    packed = docs.select(F.struct(*others).alias("doc"), "doc_id", "source", "text")
+    packed = docs.select(
+        F.struct(*others).alias("doc"), "doc_id", "source", "text", words(c("text")).alias("size"),
+        random_key(c("doc_id")).alias("key"), text_key(c("text")).alias("content"),
+    )
+    placed = _last_epoch(packed.join(cuts, c("source").eqNullSafe(c("plan_source"))))
+    copies = F.when(c("size") > 0, c("epochs") + (c("last") > 0).cast("bigint")).otherwise(0)
     each = (
-        packed.join(cuts, c("source").eqNullSafe(c("plan_source")))
-        .withColumn("copies", copies)
+        placed.withColumn("copies", copies)
         .where(c("copies") > 0)
         .withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("bigint"), c("copies"))))
     )
-    text = F.when(at & (c("epoch") > c("epochs")), first_words(c("text"), part)).otherwise(c("text"))
+    cut = (c("epoch") > c("epochs")) & (c("last") < c("size"))
+    text = F.when(cut, first_words(c("text"), c("last"))).otherwise(c("text"))
     return each.select(*(text.alias("text") if name == "text" else c("doc")[name].alias(name) for name in docs.columns))
 
 

@@ -64,9 +64,34 @@ def test_nothing_to_mix(spark):
     assert mixing.mixed(empty).count() == 0 and mixing.mix_sizes(empty.limit(0)).count() == 0
 
 
-def test_repeated_rows(spark):
-    docs = spark.createDataFrame([(1, "a b c", "s")] * 4 + [(2, "a", "t")], "doc_id long, text string, source string")
-    assert mixing.mix_sizes(docs).count() == 5
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(1, "w " * n, "s") for n in (5, 200, 300)] + [(2, "w", "t")],
+        [(1, "a b c d e f g " * 5, "s")] * 20 + [(2, "x " * 900, "t")],
+        [(None, "w " * n, "s") for n in (5, 200, 300, 5, 5)] + [(None, None, "s"), (2, "w " * 40, "t"), (2, "w " * 40, "t")],
+        [(7, "w " * (n % 4), "s") for n in range(300)] + [(8, "v " * 9, None)] * 50,
+    ],
+)
+def test_repeated_ids_and_rows(spark, rows):
+    """The words taken add up to the target within one word, and no row gives more than three times its size."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(plain.words(text))
+    expected, taken = targets(sizes), defaultdict(int)
+    found = mixing.mix_sizes(docs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - expected[s]) <= 0.5 for s in sizes)
+    again = mixing.mix_sizes(docs.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+    words = defaultdict(int)
+    for r in mixing.mixed(docs).collect():
+        words[r.source] += len(plain.words(r.text))
+    assert {s: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
 
 
 def test_against_sql(spark):
