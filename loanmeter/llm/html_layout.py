@@ -6,23 +6,33 @@ out with all they hold. The tree is then laid out: white space collapses, blocks
 own, paragraphs and headings keep a blank line, list items get markers and indents, and the cells of a
 table column share a width.
 
+Elements may be nested to any depth: the tree is laid out with a stack of its own. What is added to the text is bounded, so that
+the output stays in proportion to the page: lines are indented by ``MOST_INDENT`` blanks at most, whatever the depth of
+lists, and a cell is moved to its column by ``MOST_PAD`` blanks at most. Beyond that it stands two blanks behind the cell
+to its left.
+
 Edge cases: a null or empty page gives an empty text; pages are read whole, whatever their length; broken
-markup never fails: tags that do not end are text or dropped as in browsers, stray end tags are ignored,
-elements nested deeper than ``DEEPEST`` are laid out as part of their parent; repeated rows give equal results, one
-each; other columns are ignored; an empty table gives an empty result.
+markup never fails: tags that do not end are text or dropped as in browsers, stray end tags are ignored; a row span reaches
+the first ``MOST_COLUMNS`` columns; repeated rows give equal results, one each; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loanmeter.llm.arrow_text import mapped
 
-DEEPEST = 200
+MOST_INDENT = 80
+MOST_PAD = 120
+MOST_COLUMNS = 10_000
 
 # Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -90,11 +100,11 @@ class Builder:
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
-        self._too_deep: dict[str, int] = {}
+        self._count: Counter[str] = Counter()
 
     def text(self, data: str) -> None:
         if self.open[-1].tag == "head" and not data.isspace():
-            self.open.pop()
+            self._pop()
         self.open[-1].children.append(data)
 
     def start(self, tag: str, source: str) -> Node | None:
@@ -104,30 +114,25 @@ class Builder:
             self.root.attributes = {**hidden, **self.root.attributes}
             return None
         if tag not in IN_HEAD and self.open[-1].tag == "head":
-            self.open.pop()
+            self._pop()
         attributes = _attributes(source)
         if tag in INLINE_FORMAT and not attributes:
             return None  # it has no effect on layout
         if tag in ENDS_PARAGRAPH:
             self._close({"p"}, SCOPE)
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
-            self.open.pop()
+            self._pop()
         if tag in ENDS_BEFORE:
             self._close(*ENDS_BEFORE[tag])
         self._imply_rows(tag)
+        if tag not in VOID:
+            return self._push(tag, attributes)
         node = Node(tag, attributes)
         self.open[-1].children.append(node)
-        if tag not in VOID:
-            if len(self.open) < DEEPEST:
-                self.open.append(node)
-            else:
-                self._too_deep[tag] = self._too_deep.get(tag, 0) + 1
         return node
 
     def end(self, tag: str) -> None:
-        if self._too_deep.get(tag):
-            self._too_deep[tag] -= 1
-        elif tag == "br":
+        if tag == "br":
             self.start("br", "")
         elif tag not in ("html", "body"):
             table_part = tag in ("table", "tr", "caption") or tag in SECTIONS
@@ -136,13 +141,16 @@ class Builder:
             # An inline element does not end the blocks opened inside it.
             if not self._close(wanted, stop if tag in BLOCK else stop | BLOCK) and tag == "p":
                 self.start("p", "")
-                self.open.pop()
+                self._pop()
 
     def _close(self, wanted, stop) -> bool:
+        if not any(self._count[tag] for tag in wanted):
+            return False
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.open[at].tag
             if tag in wanted:
-                del self.open[at:]
+                while len(self.open) > at:
+                    self._pop()
                 return True
             if tag in stop:
                 return False
@@ -156,11 +164,15 @@ class Builder:
         elif tag == "tr" and self.open[-1].tag == "table":
             self._push("tbody")
 
-    def _push(self, tag: str) -> None:
-        node = Node(tag)
+    def _push(self, tag: str, attributes: dict[str, str] | None = None) -> Node:
+        node = Node(tag, attributes)
         self.open[-1].children.append(node)
-        if len(self.open) < DEEPEST:
-            self.open.append(node)
+        self.open.append(node)
+        self._count[tag] += 1
+        return node
+
+    def _pop(self) -> None:
+        self._count[self.open.pop().tag] -= 1
 
 
 def parse(html: str) -> Node:
@@ -219,7 +231,10 @@ class Flow:
         self._now: list[str] = []
         self._space = False
         self._margin = 0
-        self._prefix: list[list[str]] = []
+        self._prefix: list[list] = []
+        self._shown: list[list] = []
+        """Those of the prefixes that are not empty."""
+        self._width = 0
 
     def text(self, data: str) -> None:
         words = _WHITE.sub(" ", data)
@@ -259,22 +274,35 @@ class Flow:
             self._emit(line)
 
     def indent(self, first: str, rest: str) -> None:
-        self._prefix.append([first, rest])
+        """``first`` stands before the next line, ``rest`` before those that follow, up to ``MOST_INDENT`` in all."""
+        if self._width + len(rest) > MOST_INDENT:
+            rest = ""
+            first = first.lstrip(" ")
+        self._width += len(rest)
+        entry = [first, rest, bool(first.strip(" "))]
+        self._prefix.append(entry)
+        if first or rest:
+            self._shown.append(entry)
 
     def outdent(self) -> None:
         self.block(0)
-        first, rest = self._prefix[-1]
-        if first != rest:  # an item without content still has its marker
+        first, rest, marked = self._prefix[-1]
+        if marked and first != rest:  # an item without content still has its marker
             self._emit("")
-        self._prefix.pop()
+        entry = self._prefix.pop()
+        self._width -= len(rest)
+        if self._shown and self._shown[-1] is entry:
+            self._shown.pop()
 
     def _emit(self, line: str) -> None:
         if self.lines:
             self.lines += [""] * self._margin
         self._margin = 0
-        before = "".join(p[0] for p in self._prefix)
-        for p in self._prefix:
+        before = "".join(p[0] for p in self._shown)
+        for p in self._shown:
             p[0] = p[1]
+        if "" in (p[0] for p in self._shown):
+            self._shown = [p for p in self._shown if p[0]]
         self.lines.append((before + line).replace("\xa0", " ").rstrip())
 
 
@@ -297,8 +325,23 @@ def _seen(node: Node, seen: bool) -> bool | None:
     return seen
 
 
-def _lay_out(node: Node, flow: Flow, seen: bool, exact: bool, depth: int) -> None:
-    """Lay out what is in an element."""
+def _done(task):
+    """The result of a generator that yields the generators it waits for; they stand on a stack, not on Python's."""
+    stack, value = [task], None
+    while stack:
+        try:
+            task = stack[-1].send(value)
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+        else:
+            stack.append(task)
+            value = None
+    return value
+
+
+def _lay_out(node: Node, flow: Flow, seen: bool, exact: bool, depth: int):
+    """Lay out what is in an element. To be run by ``_done``."""
     count = _number(node.attributes.get("start"), 1, 10**9) if node.tag == "ol" else 0
     for child in node.children:
         if isinstance(child, str):
@@ -311,9 +354,9 @@ def _lay_out(node: Node, flow: Flow, seen: bool, exact: bool, depth: int) -> Non
         if tag == "br":
             flow.line_break()
         elif tag == "table":
-            flow.whole_lines(_table_lines(child, shown))
+            flow.whole_lines((yield _table_lines(child, shown)))
         elif tag not in BLOCK:
-            _lay_out(child, flow, shown, exact or tag == "textarea", depth)
+            yield _lay_out(child, flow, shown, exact or tag == "textarea", depth)
         else:
             margin = int(tag in MARGIN and not (tag in LISTS and depth))
             flow.block(margin)
@@ -324,7 +367,7 @@ def _lay_out(node: Node, flow: Flow, seen: bool, exact: bool, depth: int) -> Non
                 count += 1
             elif tag in ("dd", "blockquote"):
                 flow.indent("  ", "  ")
-            _lay_out(child, flow, shown, exact or tag in ("pre", "listing", "xmp"), depth + (tag in LISTS))
+            yield _lay_out(child, flow, shown, exact or tag in ("pre", "listing", "xmp"), depth + (tag in LISTS))
             if tag in ("li", "dd", "blockquote"):
                 flow.outdent()
             flow.block(margin)
@@ -352,13 +395,13 @@ def _wrapped(child) -> Node:
     return node
 
 
-def _table_lines(table: Node, seen: bool) -> list[str]:
-    """A column is as wide as its widest cell; two blanks stand between columns."""
+def _table_lines(table: Node, seen: bool):
+    """A column is as wide as its widest cell; two blanks stand between columns. To be run by ``_done``."""
     above, grid, pending = Flow(), [], {}
     for row, shown in _rows(table, seen):
         if row.tag != "tr":
             above.block(0)
-            _lay_out(row, above, shown, False, 0)
+            yield _lay_out(row, above, shown, False, 0)
             above.block(0)
             continue
         cells, column = [], 0
@@ -370,13 +413,14 @@ def _table_lines(table: Node, seen: bool) -> list[str]:
             while pending.get(column, 0):
                 column += 1
             flow = Flow()
-            _lay_out(cell, flow, visible, False, 0)
+            yield _lay_out(cell, flow, visible, False, 0)
             flow.block(0)
             span = max(1, _number(cell.attributes.get("colspan"), 1, 1000))
             down = max(1, _number(cell.attributes.get("rowspan"), 1, 65534))
             cells.append((column, span, flow.lines))
-            for c in range(column, column + span):
-                pending[c] = down
+            if down > 1:
+                for c in range(column, min(column + span, MOST_COLUMNS)):
+                    pending[c] = down
             column += span
         pending = {c: n - 1 for c, n in pending.items() if n > 1}
         grid.append(cells)
@@ -389,18 +433,23 @@ def _table_lines(table: Node, seen: bool) -> list[str]:
                     last = column + span - 1
                     widest = max(map(len, lines), default=0)
                     widths[last] = max(widths.get(last, 0), widest - others)
-    start, at = {}, 0
-    for column in range(max(widths, default=-1) + 1):
-        start[column] = at
-        at += widths.get(column, 0) + 2 if widths.get(column, 0) else 0
+    filled = sorted(c for c, w in widths.items() if w > 0)
+    starts = [0, *accumulate(widths[c] + 2 for c in filled)]
     out = above.lines
     for cells in grid:
         for i in range(max((len(lines) for _, _, lines in cells), default=0)):
-            line = ""
+            pieces, at = [], 0
             for column, _, lines in cells:
-                if i < len(lines):
-                    line = line.ljust(start[column]) + lines[i]
-            out.append(line)
+                if i >= len(lines) or not lines[i]:
+                    continue
+                pad = starts[bisect_left(filled, column)] - at
+                if at and pad < 2:  # a cell that is wider than its column's place
+                    pad = 2
+                own = len(lines[i]) - len(lines[i].lstrip(" "))
+                pad = min(pad, MOST_PAD) if at else max(0, min(pad, MOST_PAD - own))
+                pieces.append(" " * pad + lines[i])
+                at += pad + len(lines[i])
+            out.append("".join(pieces))
     return out
 
 
@@ -411,7 +460,7 @@ def page_text(html: str | None) -> str:
     root, flow = parse(html), Flow()
     seen = _seen(root, True)
     if seen is not None:
-        _lay_out(root, flow, seen, False, 0)
+        _done(_lay_out(root, flow, seen, False, 0))
         flow.block(0)
     return "\n".join(flow.lines).strip("\n")
 

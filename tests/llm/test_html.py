@@ -1,5 +1,9 @@
+import random
+from html import escape
+
 import pytest
 
+from loanmeter.llm import html_layout
 from loanmeter.llm.html_layout import extract_text, page_text
 
 CASES = {
@@ -53,3 +57,67 @@ def test_pages(spark):
     assert extract_text(pages.limit(0)).count() == 0
     whole = extract_text(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
     assert whole.count() == 250 and whole.where("text rlike '<(p|div|li)>' or length(text) < 20").count() == 0
+
+
+def test_hidden_text_at_any_depth():
+    for depth in (250, 5000):
+        page = "<div>" * depth + "<p style='display:none'>secret</p><ul><li>shown</ul>" + "</div>" * depth
+        assert html_layout.page_text(page) == "- shown"
+    assert html_layout.page_text("<div hidden>" + "<div>" * 5000 + "secret") == ""
+    nested = "<table><tr><td>a<td>" * 1000 + "end"
+    assert html_layout.page_text(nested).split() == ["a"] * 1000 + ["end"]
+
+
+def test_added_blanks_are_bounded():
+    wide = "<table><tr><td>" + "a" * 40_000 + "<td>b" + "<tr><td>c<td>d" * 1000
+    found = html_layout.page_text(wide).split("\n")
+    assert found[0] == "a" * 40_000 + "  b" and set(found[1:]) == {"c" + " " * html_layout.MOST_PAD + "d"}
+    pages = [
+        wide,
+        "<blockquote>" * 2000 + "x<br>" * 2000,
+        "<ul><li>" * 2000 + "x<br>" * 2000,
+        "<table><tr>" + "<td>" + ("<td>" + "z" * 40) * 1000 + "<tr><td colspan=1000>a<td>b" * 2000,
+        "<table><tr><td>" + "q" * 40 + "<td>" + ("<table><tr><td>" + "q" * 40 + "<td>") * 50 + "y<br>" * 500,
+        "<table><tr>" + "<td colspan=1000 rowspan=9>x" * 5000,
+    ]
+    for page in pages:
+        assert len(html_layout.page_text(page)) <= (html_layout.MOST_PAD + 2) * len(page) / 4
+
+
+def plain_layout(blocks):
+    """Paragraphs, nested lists and tables, laid out by their own rules: nothing is parsed."""
+    out = []
+    for kind, content in blocks:
+        if kind == "p":
+            lines = [" ".join(content)]
+        elif kind == "ul":
+            lines = ["- " + " ".join(x) for x in content]
+        elif kind == "ol":
+            lines = [f"{i + 1}. " + " ".join(x) for i, x in enumerate(content)]
+        else:
+            widths = [max(len(row[c]) for row in content) for c in range(len(content[0]))]
+            lines = ["  ".join(x.ljust(w) for x, w in zip(row, widths)).rstrip() for row in content]
+        out.append("\n".join(lines))
+    return "\n\n".join(out)
+
+
+def test_simple_pages_against_an_independent_layout():
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abc&<é") for _ in range(draw.randint(1, 6)))
+    for _ in range(200):
+        blocks = []
+        for _ in range(draw.randint(1, 5)):
+            kind = draw.choice(["p", "ul", "ol", "table"])
+            some = [[word() for _ in range(draw.randint(1, 4))] for _ in range(draw.randint(1, 4))]
+            if kind == "table":
+                some = [[word() for _ in range(3)] for _ in some]
+            blocks.append((kind, some[0] if kind == "p" else some))
+        page = ""
+        for kind, content in blocks:
+            if kind == "p":
+                page += "<p>" + "\n ".join(map(escape, content))
+            elif kind == "table":
+                page += "<p></p><table>" + "".join("<tr>" + "".join(f"<td> {escape(x)}" for x in row) for row in content) + "</table>"
+            else:
+                page += f"<{kind}>" + "".join("<li>" + " \t".join(map(escape, x)) for x in content) + f"</{kind}>"
+        assert html_layout.page_text(page) == plain_layout(blocks), page
