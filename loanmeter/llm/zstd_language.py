@@ -4,21 +4,23 @@ Each language has a raw-content dictionary of sample texts. A text is encoded by
 dictionary; the language whose dictionary gives the smallest frame wins. When the two smallest sizes
 lie close together the guess is marked as rejected.
 
-The dictionaries come from a bounded sample of the labelled rows (``sample_docs`` texts a language, at
-most ``dictionary_bytes`` each); every text is classified whole.
-
-Edge cases: a text that is null, empty or without a letter is ``und`` with score 0; equal sizes go to
-the language that sorts first, with a score of one part in the number of tied languages; rows without a
-language label teach nothing; without any labelled row every text is ``und``; equal rows give equal
+The dictionaries come from a bounded sample of the labelled rows: ``sample_docs`` texts a language, of each a piece of at most
+``piece_chars`` characters from a place that a hash picks, until ``dictionary_bytes`` are full. The pieces are cut by Spark; at most
+``all_bytes`` are gathered for all languages together, and if there are so many languages that this binds, each gets an equal
+part. Every text is classified whole.
+
+Edge cases: a text that is null, empty or without a letter (Unicode's letter property; number signs are none) is ``und``
+with score 0; equal sizes go to the language that sorts first, with a score of one part in the number of tied languages; rows
+without a language label or without a letter teach nothing; without any labelled row every text is ``und``; equal rows give equal
 results, one each; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from loanmeter.llm.shared_tables import broadcast_if_small, stored
 UNKNOWN = "und"
 MOST_BROADCAST = 10_000
 """Languages up to which the table of their counts is broadcast; it is counted before."""
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PLAIN = {c: " " for c in range(128) if not chr(c).isalpha()}
 
 
@@ -37,7 +39,9 @@ _PLAIN = {c: " " for c in range(128) if not chr(c).isalpha()}
 class LanguageRules:
     sample_docs: int = 300
     """Texts looked at per language when filling a dictionary."""
+    piece_chars: int = 2000
     dictionary_bytes: int = 128 << 10
+    all_bytes: int = 64 << 20
     level: int = 6
     tie_level: int = 19
     """Ties, which short texts have, are looked at again at this level; it finds shorter matches."""
@@ -53,34 +57,35 @@ def plain(text: str) -> str:
 
 
 def language_samples(labelled: DataFrame, rules: LanguageRules = LanguageRules()) -> DataFrame:
-    """``lang, text``: at most ``sample_docs`` texts a language, picked by a hash of their id.
+    """``lang, nth, piece``: pieces of at most ``sample_docs`` texts a language, picked by a hash of their id.
 
-    Texts are thinned out by the hash before they are ranked, so no language is gathered whole.
+    Texts are thinned out by the hash before they are ranked, so no language is gathered whole. The bytes of a language's
+    pieces before the last one are less than its dictionary has room for.
     """
     c = F.col
-    rows = labelled.where(c("lang").isNotNull() & (F.length("text") > 0))
-    counts = broadcast_if_small(stored(rows.groupBy(c("lang").alias("counted_lang")).count(), "languages"), MOST_BROADCAST)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = labelled.where(c("lang").isNotNull() & c("text").rlike("\\p{L}"))
+    counts = stored(rows.groupBy(c("lang").alias("counted_lang")).count(), "languages")
+    room = min(rules.dictionary_bytes, rules.all_bytes // max(1, counts.count()))
+    counts = broadcast_if_small(counts, MOST_BROADCAST)
+    drawn = F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(10))
+    draw = F.pmod(drawn, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    beyond = F.greatest(F.length("text") - rules.piece_chars, F.lit(0))
+    start = F.pmod(F.xxhash64("doc_id", F.lit(11)), beyond + 1).cast("int") + 1
     thinned = rows.join(counts, c("lang") == c("counted_lang")).where(draw * c("count") < 2 * rules.sample_docs)
-    by_draw = Window.partitionBy("lang").orderBy(draw, "doc_id")
-    return thinned.withColumn("nth", F.row_number().over(by_draw)).where(c("nth") <= rules.sample_docs).select("lang", "text")
+    pieces = thinned.select("lang", draw.alias("draw"), F.substring("text", start, F.lit(rules.piece_chars)).alias("piece"))
+    by_draw = Window.partitionBy("lang").orderBy("draw", "piece")
+    before = F.coalesce(F.sum(F.octet_length("piece")).over(by_draw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = pieces.withColumn("nth", F.row_number().over(by_draw)).withColumn("before", before)
+    return ranked.where((c("nth") <= rules.sample_docs) & (c("before") < room)).select("lang", "nth", "piece")
 
 
 def learn_dictionaries(labelled: DataFrame, rules: LanguageRules = LanguageRules()) -> dict[str, bytes]:
-    """Raw dictionary content by language: whole sample texts, the shorter ones first."""
+    """Raw dictionary content by language."""
     found: dict[str, list[str]] = {}
-    for row in language_samples(labelled, rules).collect():  # at most ``sample_docs`` a language
-        found.setdefault(row["lang"], []).append(plain(row["text"]))
-    out = {}
-    for lang, texts in sorted(found.items()):
-        content, room = [], rules.dictionary_bytes
-        for text in sorted(set(texts), key=lambda t: (len(t), t)):
-            data = text.encode() + b" "
-            if len(data) <= room:
-                content.append(data)
-                room -= len(data)
-        out[lang] = b"".join(content)
-    return out
+    for row in language_samples(labelled, rules).orderBy("lang", "nth").collect():  # some 64 MB at most, see above
+        found.setdefault(row["lang"], []).append(plain(row["piece"]))
+    joined = {lang: "".join(f"{x} " for x in dict.fromkeys(pieces)) for lang, pieces in sorted(found.items())}
+    return {lang: text.encode()[: rules.dictionary_bytes] for lang, text in joined.items()}
 
 
 class Classifier:
