@@ -97,7 +97,7 @@ def _statistics(part: pa.RecordBatch) -> pa.RecordBatch:
 @dataclass(frozen=True)
 class EnsembleRules:
     sample_rows: int = 20_000
-    """Labelled rows the trees and weights are fitted on, at most about so many."""
+    """Labelled documents the trees and weights are fitted on, at most."""
     trees: int = 40
     depth: int = 3
     shrinkage: float = 0.3
@@ -142,11 +142,17 @@ class RuleModel:
 
 
 def labelled_sample(statistics: DataFrame, labels: DataFrame, label: str, rules: EnsembleRules) -> DataFrame:
-    """About ``sample_rows`` labelled rows at most, picked by a hash of the id."""
-    known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("y"))
-    share = rules.sample_rows / max(known.count(), 1)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return statistics.join(known.where(draw < share), "doc_id").select("doc_id", *STATISTICS, "y")
+    """One row for each labelled id, and of these the ``sample_rows`` that a hash of the id draws first, exactly.
+
+    An id with several labels counts with the highest; of several documents with one id, the one with the smallest statistics
+    counts. So repeated ids, however many rows they have, do not enlarge the sample.
+    """
+    c = F.col
+    known = labels.where(c(label).isNotNull() & c("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
+    known = known.join(statistics.select("doc_id"), "doc_id", "left_semi")
+    drawn = known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(rules.sample_rows)
+    own = statistics.join(drawn, "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(*STATISTICS)).alias("own"))
+    return own.select("doc_id", "own.*", "y")
 
 
 def fit(sample: DataFrame, rules: EnsembleRules = EnsembleRules()) -> RuleModel:

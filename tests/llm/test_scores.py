@@ -1,71 +1,11 @@
-"""Language-model scores, quality classifier, language identification."""
-
-import math
-from collections import Counter
-from zlib import crc32
-
-import pyarrow as pa
-from pyspark.sql import functions as F
+"""Quality classifier, language identification."""
 
 from loanmeter.llm import rule_ensemble, zstd_language
-from loanmeter.llm.context_mixing import MixingRules, text_scores, token_stream
-from loanmeter.llm.queries import QUERIES, fold
-from tests.llm import plain
+from loanmeter.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
 
-def test_token_stream():
-    texts = ["A b\n c  ", None, "", " \n x", "éa  éa\n\n"]
-    stream, begin, end, words = token_stream(pa.array(texts))
-    assert [bytes(stream[b:e]) for b, e in zip(begin, end)] == [
-        b"a b c\n", b"\n", b"\n", b"x\n", "éa éa\n".encode(),
-    ]
-    assert words[1].tolist() == [0, 0, 0, 3, 4, 4]
-
-
-def test_unigram_scores_against_counting(spark):
-    """With nearly all counts looked up by the join, and with none."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    docs = docs.unionByName(spark.createDataFrame([(-i - 1, t) for i, t in enumerate(plain.EDGE_TEXTS)], docs.schema))
-    tokens = {r.doc_id: [*plain.words(plain.lower_ascii(r.text)), None] for r in docs.collect()}
-    count = Counter()
-    for i, own in tokens.items():
-        if crc32(str(i).encode()) % 10:
-            count.update(own)
-    total = sum(count.values())
-    each = math.log10(total + 0.1 * (len(count) + 1))
-    for frequent in (2_000_000, 50):
-        for r in text_scores(docs, fold(10) != 0, MixingRules(frequent=frequent)).collect():
-            own = tokens[r.doc_id]
-            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(count[t] > 0 for t in own), total)
-            assert math.isclose(r.base_score, sum(math.log10(count[t] + 0.1) - each for t in own), rel_tol=1e-9)
-            assert r.score < 0 and math.isfinite(r.score)
-
-
-def test_probabilities_of_a_text_add_up(spark):
-    """Scores of all continuations by one byte are at most one together."""
-    train = spark.createDataFrame([(1, "abab ab ba abba " * 30)], "doc_id long, text string")
-    tries = [(2 + i, "ab" + c) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")]
-    docs = train.unionByName(spark.createDataFrame(tries, train.schema)).repartition(3)
-    found = {r.doc_id: r.score for r in text_scores(docs, F.col("doc_id") == 1).collect()}
-    assert sum(10 ** found[i] for i, _ in tries) <= 1
-    assert found[2] > found[4]
-
-
-def test_scores_without_training_rows(spark):
-    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None)], "doc_id long, text string")
-    rows = text_scores(docs, F.lit(False)).collect()
-    assert len(rows) == 3 and {r.train_tokens for r in rows} == {0}
-    assert text_scores(docs.limit(0), F.lit(True)).count() == 0
-
-
-def test_mixing_beats_bytes_and_adapts(spark):
-    found = QUERIES["op7_lm_score"](spark, SF).where("held_out")
-    bits = found.agg(F.sum("score").alias("s"), F.sum(F.col("score") / F.col("bits_per_byte")).alias("n")).first()
-    assert bits.s / bits.n < 2.5
-
-
 def test_quality_on_held_out_rows(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = QUERIES["op5_quality_classifier"](spark, SF)
