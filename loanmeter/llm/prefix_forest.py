@@ -47,11 +47,19 @@ def usable(embedding: Column) -> Column:
     return F.coalesce(finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
+def scaled(embedding: Column) -> Column:
+    """Vectors whose squares would leave the range of doubles, divided by a power of two; the cosine stays the same."""
+    most = F.array_max(F.transform(embedding, F.abs))
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(most)))
+    extreme = (most > 1e100) | (most < 1e-100)
+    return F.when(extreme, F.transform(embedding, lambda x: x / scale)).otherwise(embedding)
+
+
 def nearest(vectors: DataFrame, is_query: Column, rules: ForestRules = ForestRules()) -> DataFrame:
     """``query_id, rank, vec_id, score`` over ``vec_id, embedding``: the ``k`` nearest found of each query."""
     c = F.col
     good = vectors.where(c("vec_id").isNotNull() & usable(c("embedding")))
-    good = good.select("vec_id", c("embedding").cast("array<double>").alias("embedding")).dropDuplicates()
+    good = good.select("vec_id", scaled(c("embedding").cast("array<double>")).alias("embedding")).dropDuplicates()
     good = stored(good.withColumn("size", F.size("embedding")), "vectors")
     # One more than k: a query does not count itself.
     first_ids = Window.partitionBy("embedding").orderBy("vec_id")

@@ -35,6 +35,13 @@ def test_exact_where_all_are_candidates(spark):
     assert nearest(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [3e180, 4e180]), (2, [1.0, 0.0]), (3, [-1e-200, 1e-200]), (4, [2e-310, 2e-310])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r.vec_id, round(r.score, 12)) for r in nearest(vectors, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert found == [(4, 1.0), (1, round(7 / 5 / math.sqrt(2), 12)), (2, round(math.sqrt(0.5), 12)), (3, 0.0)]
+
+
 def test_recall(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in vectors.select("vec_id", "embedding").collect()]
