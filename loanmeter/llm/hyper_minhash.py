@@ -50,6 +50,8 @@ class NearRules:
     least_estimate: float = 0.62
     block: int = 1_000
     """A larger bucket is compared block by block, each pair of blocks in a task of its own."""
+    block_shingles: int = 500_000
+    """Shingles of a block, about: a block of long texts has fewer of them, one at least."""
 
     @property
     def registers(self) -> int:
@@ -228,7 +230,10 @@ def _open_members(members: DataFrame, nodes: DataFrame, known: DataFrame, rules:
     labelled = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last"))
     several = labelled.join(mixed.where("first <> last").select("bucket"), "bucket").join(nodes, "node")
-    blocks = F.ceil(c("bucket_size") / rules.block)
+    # Rows and bytes of a block are bounded: texts of one bucket may be long.
+    shingles = several.groupBy("bucket").agg(F.sum("n_shingles").alias("bucket_shingles"))
+    several = several.join(shingles, "bucket")
+    blocks = F.ceil(F.greatest(c("bucket_size") / rules.block, c("bucket_shingles") / rules.block_shingles))
     dealt = (
         several.withColumn("mine", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))

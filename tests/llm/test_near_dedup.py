@@ -22,18 +22,28 @@ def documents():
     return [*rows, (len(rows), rows[-1][1]), (len(rows) + 1, rows[-1][1])]
 
 
-@pytest.mark.parametrize("block", [2_000, 3])
-def test_against_all_pairs(spark, block):
+@pytest.mark.parametrize("sizes", [{}, {"block": 3}, {"block_shingles": 100}])
+def test_against_all_pairs(spark, sizes):
     """Also with blocks so small that buckets are compared block by block."""
     rows = documents()
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, component int").repartition(3)
     expected = plain.near_components(rows)
-    found = {r.doc_id: r for r in near_components(docs, NearRules(block=block)).collect()}
+    found = {r.doc_id: r for r in near_components(docs, NearRules(**sizes)).collect()}
     assert {i: r.component_id for i, r in found.items()} == expected
     assert {i: r.n_shingles for i, r in found.items()} == {i: len(plain.shingles(t)) for i, t in rows}
     assert all(r.kept == (i == expected[i]) for i, r in found.items())
 
 
+def test_long_texts_of_one_bucket_are_compared_in_small_blocks(spark):
+    """Six texts of a MB each, in two components that a bucket holds together."""
+    base = [f"word{i:05d}" for i in range(100_000)]
+    rows = [(i, " ".join(base[: 100_000 - i * 2000] + [f"own{i}"] * (i * 15_000 if i > 2 else 0))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = plain.near_components(rows)
+    found = near_components(docs, NearRules(block_shingles=150_000)).collect()
+    assert {r.doc_id: r.component_id for r in found} == expected
+
+
 def test_rows_without_id_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (1, "a b c d"), (2, "a b c d"), (2, "a b c d")], "doc_id long, text string")
     found = near_components(docs).collect()
