@@ -34,7 +34,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = span_dedup.remaining_bytes(table(spark, sf_dir, "documents"))
-    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.try_validate_utf8("kept") if hasattr(F, "try_validate_utf8") else F.decode("kept", "UTF-8")
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text.alias("kept_text"))
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +132,8 @@ ORACLE_SQL = {
     "op4_source_mixing": """
 with sized as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) size,
-    cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 13)) as bigint) k
+    cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 13)) as bigint) k,
+    cast(('0x' || substr(md5(coalesce(text, '')), 1, 13)) as bigint) content
   from documents),
 totals as (select source, cast(sum(size) as bigint) source_size from sized group by source),
 ranked as (
@@ -156,7 +158,7 @@ plans as (
   from targets),
 placed as (
   select s.doc_id, s.size, p.source_size, p.target, p.epochs, p.budget - p.epochs * p.source_size rest,
-    coalesce(cast(sum(s.size) over (partition by s.source order by s.k, s.doc_id
+    coalesce(cast(sum(s.size) over (partition by s.source order by s.k, s.doc_id, s.content
       rows between unbounded preceding and 1 preceding) as bigint), 0) start
   from sized s join plans p on s.source is not distinct from p.source)
 select doc_id, size, source_size, target,

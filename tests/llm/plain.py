@@ -42,9 +42,9 @@ def shingles(text, size=3):
     return frozenset(tuple(own[i : i + size]) for i in range(len(own) - size + 1))
 
 
-def near_components(rows, percent=85):
+def near_components(rows, percent=85, size=3):
     """``{doc_id: smallest id reachable}`` by comparing all pairs."""
-    sets = [(i, shingles(t)) for i, t in rows]
+    sets = [(i, shingles(t, size)) for i, t in rows]
     top = {i: i for i, _ in rows}
 
     def find(x):
@@ -72,3 +72,17 @@ def without_repeats(rows, length, keep):
             for _, p, n in copies if keep == "none" else sorted(copies)[1:]:
                 gone[n][p : p + length] = b"\1" * length
     return gone
+
+
+def without_passages(rows):
+    """``{place: text}`` for ``(place, text)`` rows: what neither the 400 bytes nor the 50 words of the pipeline remove."""
+    by_byte = without_repeats([(p, t.encode()) for p, t in rows], 400, "first")
+    by_word = without_repeats([(p, tuple(words(t))) for p, t in rows], 50, "first")
+    left = {}
+    for (place, text), gone, some in zip(rows, by_byte, by_word):
+        starts = [len(text[: m.start()].encode()) for m in WORD.finditer(text)] + [len(gone)]
+        for i, flag in enumerate(some):
+            if flag:
+                gone[starts[i] : starts[i + 1]] = b"\1" * (starts[i + 1] - starts[i])
+        left[place] = bytes(b for b, x in zip(text.encode(), gone) if not x).decode(errors="ignore")
+    return left

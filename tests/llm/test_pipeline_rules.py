@@ -14,20 +14,6 @@ def invented(seed, n, letters="abcdefghijklmnopqrstuvwxyz"):
     return ["".join(own.choice(letters) for _ in range(own.randint(4, 5))) for _ in range(n)]
 
 
-def without_passages(rows):
-    """For ``(place, text)`` rows: what neither the 400 bytes nor the 50 words remove."""
-    by_byte = plain.without_repeats([(p, t.encode()) for p, t in rows], 400, "first")
-    by_word = plain.without_repeats([(p, tuple(plain.words(t))) for p, t in rows], 50, "first")
-    left = {}
-    for (place, text), gone, words in zip(rows, by_byte, by_word):
-        starts = [len(text[: m.start()].encode()) for m in plain.WORD.finditer(text)] + [len(gone)]
-        for i, flag in enumerate(words):
-            if flag:
-                gone[starts[i] : starts[i + 1]] = b"\1" * (starts[i + 1] - starts[i])
-        left[place[0]] = bytes(b for b, x in zip(text.encode(), gone) if not x).decode(errors="ignore")
-    return left
-
-
 def test_short_passages_of_many_words_go(spark):
     passage = invented(1, 51)
     assert 260 < len(" ".join(passage)) < 300
@@ -61,22 +47,13 @@ def test_passages_against_all_strings(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], COLUMNS).repartition(3)
     rows = [((r.doc_id, r.row_hash), r.text) for r in with_row_hash(docs).collect()]
     found = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()}
-    assert found == without_passages(rows) and sum(found[i] != t for i, t in enumerate(texts)) > 20
+    expected = {place[0]: text for place, text in plain.without_passages(rows).items()}
+    assert found == expected and sum(found[i] != t for i, t in enumerate(texts)) > 20
 
 
 def linked_at_five_words(rows):
     """Ids that stay if texts are linked at four fifths of their five-word shingles, by comparing all pairs."""
-    sets, top = [(i, plain.shingles(t, 5)) for i, t in rows], {i: i for i, _ in rows}
-
-    def find(x):
-        return x if top[x] == x else find(top[x])
-
-    for n, (i, a) in enumerate(sets):
-        for j, b in sets[:n]:
-            if a and b and 100 * len(a & b) >= 80 * len(a | b):
-                x, y = sorted((find(i), find(j)))
-                top[y] = x
-    return {i for i in top if find(i) == i}
+    return {i for i, top in plain.near_components(rows, 80, 5).items() if i == top}
 
 
 def test_near_copies_at_five_words(spark):
