@@ -14,7 +14,7 @@ from loanmeter.plans.ingest import IngestConfig, IngestError, ingest_all, ingest
 from loanmeter.plans.score import ScoreTables, score_members
 from loanmeter.sources.cleaned import append_clean, read_clean, read_score_tables, register_views
 from loanmeter.sources.published import publish_scores
-from loanmeter.sources.raw import land_snapshot, read_raw, read_snapshot
+from loanmeter.sources.raw import land_snapshot, read_raw, read_snapshot, reparse_snapshot
 from loanmeter.tables import TABLES
 
 __all__ = [
@@ -40,5 +40,6 @@ __all__ = [
     "read_score_tables",
     "read_snapshot",
     "register_views",
+    "reparse_snapshot",
     "score_members",
 ]

@@ -40,10 +40,12 @@ class IngestConfig:
 def ingest_table(spark: SparkSession, table: TableSpec, cfg: IngestConfig) -> int:
     """Land one table, clean the landed day and append it. Returns the number of rows appended.
 
-    The rows are counted while they are written.
+    Lines that did not fit the schema are landed as they were, so that the day can be parsed anew. The rows are counted
+    while they are written.
     """
     landing = table_path(cfg.landing, table)
-    land_snapshot(read_raw(spark, table, f"{cfg.raw}/{table.raw_file}"), landing, cfg.snapshot_date)
+    raw = read_raw(spark, table, f"{cfg.raw}/{table.raw_file}", keep_faulty=True)
+    land_snapshot(raw, landing, cfg.snapshot_date)
     written = Observation()
     cleaned = clean(read_snapshot(spark, table, landing, cfg.snapshot_date), table)
     append_clean(

@@ -7,6 +7,7 @@ numbers per row instead of amounts and texts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,11 @@ PAYMENT_COLUMNS = (
 )
 
 
+class CountedMembers(Protocol):
+    def hot_members(self, sides: tuple[str, ...], policy: HotPolicy | None = None) -> tuple[bool, HotMembers | None]:
+        """Whether the members were counted, and the hot ones."""
+
+
 @dataclass(frozen=True)
 class ScoreTables:
     """The five cleaned tables the score reads."""
@@ -31,9 +37,15 @@ class ScoreTables:
     defaulters: DataFrame
     loans: DataFrame
     accounts: DataFrame
+    counts: CountedMembers | None = None
+    """Hot members by counts that are kept with the tables."""
 
     def hot_members(self, *names: str, policy: HotPolicy | None = None) -> HotMembers | None:
-        """Find the hot members of the named tables. Runs a Spark job."""
+        """Find the hot members of the named tables: by kept counts, or else by a Spark job over all keys."""
+        if self.counts:
+            counted, found = self.counts.hot_members(names, policy)
+            if counted:
+                return found
         return find_hot_members({name: getattr(self, name) for name in names}, policy)
 
 

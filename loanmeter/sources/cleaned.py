@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanmeter.operators.hot_members import KEY
 from loanmeter.plans.score import ScoreTables
+from loanmeter.sources.member_counts import MemberCounts, append_member_rows, table_files
 from loanmeter.tables import SCORE_TABLES, TABLES, TableSpec
 
 
@@ -17,10 +19,16 @@ def append_clean(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """Append to a cleaned table. Appending the same rows again stores them again.
 
     ``rebalance`` evens out file sizes at the cost of a shuffle, for runs that would leave many
-    small files.
+    small files. Rows of a table of members are counted by member, for the plans of scores; that reads one column of
+    what was written.
     """
     out = df.hint("rebalance") if rebalance else df
+    if KEY not in df.columns:
+        out.write.mode("append").parquet(path)
+        return
+    before = table_files(df.sparkSession, path)
     out.write.mode("append").parquet(path)
+    append_member_rows(df.sparkSession, path, table_files(df.sparkSession, path) - before)
 
 
 def read_clean(spark: SparkSession, table: TableSpec, path: str) -> DataFrame:
@@ -29,9 +37,11 @@ def read_clean(spark: SparkSession, table: TableSpec, path: str) -> DataFrame:
 
 
 def read_score_tables(spark: SparkSession, root: str) -> ScoreTables:
-    """The cleaned tables the score needs."""
+    """The cleaned tables the score needs, with what was counted when they were appended to."""
+    paths = {n: table_path(root, TABLES[n]) for n in SCORE_TABLES}
     return ScoreTables(
-        **{n: read_clean(spark, TABLES[n], table_path(root, TABLES[n])) for n in SCORE_TABLES}
+        **{n: read_clean(spark, TABLES[n], path) for n, path in paths.items()},
+        counts=MemberCounts(spark, root, paths),
     )
 
 

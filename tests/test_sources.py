@@ -20,6 +20,7 @@ from loanmeter import (
     read_score_tables,
     read_snapshot,
     register_views,
+    reparse_snapshot,
     score_members,
 )
 
@@ -166,3 +167,30 @@ def test_failing_table_leaves_the_others_done(spark, cfg, tmp_path):
         "customers": (2, "Success"), "loans": (1, "Success"), "accounts": (None, "AnalysisException"),
         "defaulters": (2, "Success"), "payments": (1, "Success"), "investors": (1, "Success"),
     }
+
+
+def test_a_bad_date_is_parsed_anew_from_the_landing(spark, tmp_path):
+    """The reader and the snapshot lose nothing: a line that did not fit comes back, whole lines are left as they were."""
+    spec = TABLES["loans"]
+    names = [c.raw for c in spec.columns]
+    good = '1,m,a,5.5,5,36,1%,7,2018-01-31,Current,p,"t, u",Cash'
+    lines = [",".join(names), good, good.replace("2018-01-31", "31.1.2018"), good.replace("5.5", "5;5"), "2,m", good + ",more"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    landed = str(tmp_path / "landed")
+    land_snapshot(read_raw(spark, spec, str(tmp_path / "in.csv"), keep_faulty=True), landed, "2024-01-01")
+    plain = read_snapshot(spark, spec, landed, "2024-01-01")
+    assert plain.columns == names and plain.where("issue_date is null").count() == 2
+    unchanged = reparse_snapshot(spark, spec, landed, "2024-01-01")
+    assert sorted(map(str, unchanged.collect())) == sorted(map(str, plain.collect()))
+
+    def fix(rows):
+        day = F.coalesce(F.try_to_date("issue_date", "d.M.yyyy"), F.try_to_date("issue_date", "yyyy-MM-dd"))
+        return rows.withColumns({"issue_date": day, "loan_amt": F.replace("loan_amt", F.lit(";"), F.lit("."))})
+
+    fixed = reparse_snapshot(spark, spec, landed, "2024-01-01", fix)
+    assert fixed.columns == names and dict(fixed.dtypes) == dict(plain.dtypes)
+    assert fixed.where("issue_date = date'2018-01-31' and loan_amt = 5.5 and title = 't, u'").count() == 4
+    assert fixed.where("loan_id = '2' and issue_date is null").count() == 1
+    # Days landed before the column existed are read as well.
+    land_snapshot(read_raw(spark, spec, str(tmp_path / "in.csv")), landed, "2024-01-02")
+    assert reparse_snapshot(spark, spec, landed, "2024-01-02").count() == read_snapshot(spark, spec, landed, "2024-01-02").count() == 5

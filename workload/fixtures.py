@@ -14,6 +14,14 @@ def _alone(key: str, table: int) -> str:
     return f"cast(cast({key} as bigint) + {table}0000000000 as string)"
 
 
+# Customers with an even number pay, those with an odd one borrow: each side of the joins is large for half of the members, so
+# nearly all payments and loans find their member while the combinations of both stay few. A few payments and loans go the
+# other way, so that every member has some.
+_PAYS = """cast(case when l_linenumber = 1 and l_orderkey % 4 in (1, 2) then o_custkey - 1 + o_custkey % 2
+    when o_custkey = 1 then 2 else o_custkey - o_custkey % 2 end as string)"""
+_BORROWS = """cast(case when o_orderkey % 32 <> 7 then o_custkey - 1 + o_custkey % 2
+    when o_custkey = 1 then 2 else o_custkey - o_custkey % 2 end as string)"""
+
 GIVEN = ("region", "nation", "customer", "orders", "lineitem")
 
 RAW = {
@@ -64,9 +72,9 @@ select cast(o_orderkey * 3 + 1 as string) investor_loan_id, cast(o_orderkey as s
   case when o_orderkey % 5 = 0 then 'null' else o_orderpriority end investor_type,
   cast(20 + o_orderkey % 50 as int) age, o_orderstatus state, 'US' country
 from {orders}""",
-    "loans": """
+    "loans": f"""
 select cast(o_orderkey as string) loan_id,
-  case when o_orderkey % 37 = 0 then null else cast(o_custkey as string) end mem_id,
+  case when o_orderkey % 37 = 0 then null else {_BORROWS} end mem_id,
   case when o_orderkey % 41 = 0 then 'null' else cast(o_custkey * 3 as string) end acc_id,
   o_totalprice loan_amt, cast(floor(o_totalprice) as double) fnd_amt,
   case o_orderkey % 3 when 0 then ' 36 months' when 1 then '60 months' else null end term,
@@ -74,11 +82,10 @@ select cast(o_orderkey as string) loan_id,
   cast(floor(o_totalprice / 36) as float) installment, cast(o_orderdate as date) issue_date,
   case when o_orderkey % 9 = 0 then 'null' else 'Current' end loan_status, o_orderpriority purpose,
   case when o_orderkey % 14 = 0 then 'null' else 'Debt' end title, 'Cash' disbursement_method
-from {orders}""",
+from {{orders}}""",
     "payments": f"""
 select cast(l_orderkey as string) loan_id,
-  case when l_partkey % 31 = 0 then 'null' when l_linenumber = 1 then cast(o_custkey as string)
-    else {_alone("o_custkey", 1)} end mem_id,
+  case when l_partkey % 31 = 0 then 'null' when o_custkey % 23 = 0 then {_alone("o_custkey", 1)} else {_PAYS} end mem_id,
   case when l_partkey % 37 = 0 then null
     else concat(cast(l_orderkey as string), 'x', cast(l_partkey as string)) end latest_transaction_id,
   l_extendedprice funded_amnt_inv, cast(floor(l_extendedprice * 0.5) as float) total_pymnt_rec,
@@ -95,12 +102,11 @@ _INCIDENTS = """case {n} % 16 when 15 then null when 14 then -1 when 8 then 1 wh
 
 CLEANED = {
     "customers": f"""
-select case when c_custkey % 13 = 0 then {_alone("c_custkey", 2)} else cast(c_custkey as string) end member_id,
+select case when c_custkey % 29 = 0 then {_alone("c_custkey", 2)} else cast(c_custkey as string) end member_id,
   c_name first_name, c_mktsegment last_name, n_name state, r_name country
 from {{customer}} join {{nation}} on c_nationkey = n_nationkey join {{region}} on n_regionkey = r_regionkey""",
     "payments": f"""
-select case when o_custkey % 11 = 0 or l_linenumber > 2 then {_alone("o_custkey", 3)}
-    else cast(o_custkey as string) end member_id,
+select case when o_custkey % 23 = 0 then {_alone("o_custkey", 3)} else {_PAYS} end member_id,
   l_extendedprice funded_amount_investor,
   case when l_partkey % 7 = 0 then null when l_partkey % 7 = 1 then cast(0 as float)
     when l_partkey % 7 = 2 then cast(-1 as float)
@@ -110,7 +116,7 @@ select case when o_custkey % 11 = 0 or l_linenumber > 2 then {_alone("o_custkey"
     else cast(l_quantity * (l_suppkey % 6 + 1) * 0.4375 as float) end last_payment_amount
 from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "defaulters": f"""
-select case when c_custkey % 10 = 3 then {_alone("c_custkey", 4)} else cast(c_custkey as string) end member_id,
+select case when c_custkey % 40 in (13, 24) then {_alone("c_custkey", 4)} else cast(c_custkey as string) end member_id,
   {_INCIDENTS.format(n="c_custkey")} defaulters_2yrs,
   {_INCIDENTS.format(n="(c_custkey * 5 + 2)")} public_records,
   {_INCIDENTS.format(n="(c_custkey * 7 + 1)")} public_records_bankruptcies,
@@ -118,7 +124,7 @@ select case when c_custkey % 10 = 3 then {_alone("c_custkey", 4)} else cast(c_cu
   case c_custkey % 10 when 0 then 'Y' when 1 then null when 2 then 'U' else 'N' end hardship_flag
 from {{customer}}""",
     "loans": f"""
-select case when o_orderkey % 4 = 0 then cast(o_custkey as string) else {_alone("o_custkey", 5)} end member_id,
+select case when o_orderkey % 29 = 0 then {_alone("o_custkey", 5)} else {_BORROWS} end member_id,
   o_totalprice funded_amount,
   case o_orderkey % 9 when 0 then 'Fully Paid' when 1 then 'Current' when 2 then 'In Grace Period'
     when 3 then 'Late (16-30 days)' when 4 then 'Late (31-120 days)' when 5 then 'Charged Off' when 6 then 'Default'
@@ -135,12 +141,12 @@ select case when c_custkey % 17 = 0 then {_alone("c_custkey", 6)} else cast(c_cu
 from {{customer}}""",
 }
 
-# Member 1 has a third of all payments, member 2 many payments and many loans, whose product is large.
+# Member 4 has a third of all payments, member 2 many payments and many loans, whose product is large.
 # A third of the defaulter rows have no member id.
 HOT = {
     "customers": CLEANED["customers"],
     "payments": f"""
-select case when cast(member_id as bigint) % 3 = 0 then '1' when cast(member_id as bigint) % 100 = 1 then '2'
+select case when cast(member_id as bigint) % 3 = 0 then '4' when cast(member_id as bigint) % 100 = 1 then '2'
     else member_id end member_id,
   funded_amount_investor, total_payment_recorded, installment, last_payment_amount
 from ({CLEANED["payments"]}) p""",
@@ -152,7 +158,7 @@ from ({CLEANED["defaulters"]}) d""",
 select case when cast(member_id as bigint) % 400 = 1 then '2' else member_id end member_id, funded_amount, loan_status
 from ({CLEANED["loans"]}) l""",
     "accounts": f"""
-select case when member_id in ('300', '600', '900') then '1' else member_id end member_id,
+select case when member_id in ('300', '600', '900') then '4' else member_id end member_id,
   grade, sub_grade, home_ownership, total_high_credit_limit
 from ({CLEANED["accounts"]}) a""",
 }

@@ -132,6 +132,10 @@ FAULTY_LINES = {
 }
 
 
+_REPARSED_DATE = """case o_orderkey % 10 when 0 then '2018-01-01' when 1 then '1998-12-31' when 2 then ''
+  else cast(cast(o_orderdate as date) as string) end"""
+
+
 def _parsed(fields: dict[str, str], types: dict[str, str], short: str, source: str) -> str:
     out = []
     for i, (name, sql) in enumerate(fields.items()):
@@ -348,6 +352,9 @@ ORACLE_SQL = {
     "landing_snapshot": f"""
         select *, '2024-05-01' landed_on from ({_RAW["loans"]}) r where cast(loan_id as bigint) % 2 <> 0
         union all select *, '2024-05-02' from ({_RAW["loans"]}) r""",
+    "landing_reparsed": _parsed(
+        _LOAN_FIELDS | {"issue_date": _REPARSED_DATE}, _FAULTY["loans"][4], "o_orderkey % 11 = 0", "orders"
+    ),
     "parquet_append_twice": f"{CLEAN['defaulters']} union all {CLEAN['defaulters']}",
     **{f"clean_{name}": sql for name, sql in CLEAN.items()},
     "ingest_dates": f"select count(*) dated_rows, cast(1 as bigint) dates from ({_RAW['accounts']}) r",

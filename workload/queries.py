@@ -22,6 +22,7 @@ from loanmeter import (
     read_score_tables,
     read_snapshot,
     register_views,
+    reparse_snapshot,
 )
 from loanmeter.functions.cleaning import surrogate_key
 from loanmeter.operators import filters
@@ -75,6 +76,20 @@ def _scan(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, spec, path)
 
 
+def landing_reparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty lines are landed with the day; later their dates of two other forms are read as well."""
+    spec = TABLES["loans"]
+    lines, path = scratch_folder(spark, "reparsed-lines"), scratch_folder(spark, "reparsed-landing")
+    write_lines(fixtures.derive(spark, sf_dir, oracle.FAULTY_LINES["loans"]), ",".join(c.raw for c in spec.columns), lines)
+    land_snapshot(read_raw(spark, spec, lines, keep_faulty=True), path, "2024-05-01")
+
+    def dates(rows: DataFrame) -> DataFrame:
+        forms = [F.try_to_date("issue_date", form) for form in ("yyyy-MM-dd", "dd/MM/yyyy", "MMM-yyyy")]
+        return rows.withColumn("issue_date", F.coalesce(*forms))
+
+    return reparse_snapshot(spark, spec, path, "2024-05-01", dates)
+
+
 def _clean(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(spark, sf_dir, table).drop("ingest_date")
 
@@ -256,6 +271,7 @@ QUERIES = {
     "csv_scan_typed": partial(_scan, "payments"),
     **{f"csv_scan_{name}": partial(_scan, name) for name in TABLES if name != "payments"},
     "landing_snapshot": landing_snapshot,
+    "landing_reparsed": landing_reparsed,
     "parquet_append_twice": parquet_append_twice,
     **{f"clean_{name}": partial(_clean, name) for name in TABLES},
     "ingest_dates": ingest_dates,
