@@ -194,7 +194,9 @@ def repeated_spans(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame
         .groupBy(c("doc_id").alias("of_doc"), c(ROW).alias("of_row"))
         .agg(F.collect_set(F.struct("key", "variety", "copies", "first", "last")).alias("asked"))
     )
-    cut = texts.join(asked, _same_row(texts, asked)).select("doc_id", ROW, "text", "asked")
+    # Texts are shuffled whatever the other side's size: the plan is the same at every size, and all joins of the texts share
+    # one shuffle.
+    cut = texts.join(asked.hint("merge"), _same_row(texts, asked)).select("doc_id", ROW, "text", "asked")
     cut = cut.mapInArrow(mapped(lambda part: _cut_blocks(part, rules)), BLOCKS)
     few = cut.where(c("variety") <= rules.most_blocks).repartition("key").sortWithinPartitions("key")
     found = few.mapInArrow(lambda batches: _compare(batches, rules), SPANS)
@@ -365,7 +367,7 @@ def _with_spans(docs: DataFrame, *rules: SpanRules) -> DataFrame:
     out = docs
     for i, some in enumerate(rules):
         spans = repeated_spans(docs, some).withColumnRenamed("spans", f"{'words' if some.words else 'spans'}{i}")
-        out = out.join(spans, _same_row(out, spans), "left").drop("of_doc", "of_row")
+        out = out.join(spans.hint("merge"), _same_row(out, spans), "left").drop("of_doc", "of_row")
     return out
 
 
