@@ -181,5 +181,82 @@ marked as (
 select min(doc_id) doc_id, count(*) n_lines, cast(sum(cast(gone as int)) as bigint) n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) kept_sha256
 from marked group by r
+""",
+    "op3_suffix_dedup": """
+with texts as (select row_number() over () r, doc_id, hex(encode(coalesce(text, ''))) h from documents),
+starts as (
+  select r, p, md5(substr(h, cast(2 * p + 1 as int), 800)) s
+  from (select r, h, unnest(range(0, len(h) // 2 - 399)) p from texts)),
+repeated as (select r, p from (select r, p, count(*) over (partition by s) n from starts) where n > 1),
+begun as (select r, p, coalesce(p > lag(p) over w + 400, true) is_new from repeated window w as (partition by r order by p)),
+runs as (
+  select r, min(p) low, max(p) + 400 high
+  from (select r, p, sum(cast(is_new as int)) over (partition by r order by p) nth from begun) group by r, nth),
+pieces as (
+  select r, low, high, coalesce(lag(high) over (partition by r order by low), 0) after from runs),
+lefts as (
+  select t.r, doc_id, h, count(p.r) n_spans, cast(coalesce(sum(high - low), 0) as bigint) n_removed,
+    coalesce(string_agg(substr(h, cast(2 * after + 1 as int), cast(2 * (low - after) as int)), '' order by low), '')
+      || substr(h, cast(2 * coalesce(max(high), 0) + 1 as int)) kept
+  from texts t left join pieces p on p.r = t.r group by t.r, doc_id, h)
+select doc_id, len(h) // 2 n_bytes, n_removed, n_spans, sha256(unhex(kept)) kept_sha256, try(decode(unhex(kept))) kept_text
+from lefts
+""",
+    "op8_near_dedup": """
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') w from documents),
+shingles as (
+  select distinct doc_id, case when len(w) < 3 then array_to_string(w, ' ') else array_to_string(w[i:i+2], ' ') end sh
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) i from texts where len(w) > 0)),
+sizes as (select doc_id, count(*) n from shingles group by 1),
+pairs as (
+  select a.doc_id a, b.doc_id b, count(*) n_both
+  from shingles a join shingles b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from pairs p join sizes s on s.doc_id = a join sizes t on t.doc_id = b
+  where 100 * n_both >= 85 * (s.n + t.n - n_both)),
+either as (select a, b from links union select b, a from links),
+reach as (select a, b from either union select r.a, e.b from reach r join either e on r.b = e.a)
+select t.doc_id, coalesce(any_value(s.n), 0) n_shingles, least(t.doc_id, coalesce(min(r.b), t.doc_id)) component_id,
+  t.doc_id <= coalesce(min(r.b), t.doc_id) kept
+from texts t left join sizes s on s.doc_id = t.doc_id left join reach r on r.a = t.doc_id group by t.doc_id
+""",
+    "op13_importance": """
+with recursive crc as (
+  select 0 i, range(256) t union all
+  select i + 1, list_transform(t, lambda x: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) from crc where i < 8),
+tab as (select t from crc where i = 8),
+texts as (
+  select 0 kind, row_number() over () r, doc_id, text from documents union all
+  select 1, row_number() over (), null, text from benchmark),
+words as (
+  select kind, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from texts),
+features as (
+  select kind, r, unnest(w) f from words union all
+  select kind, r, w[i] || ' ' || w[i + 1] from (select kind, r, w, unnest(range(1, len(w))) i from words)),
+distinct_features as (select f, hex(encode(f)) h from (select distinct f from features)),
+buckets as (
+  select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: cast('0x' || substr(h, cast(2 * i + 1 as int), 2) as bigint))),
+    lambda acc, x: xor(acc >> 8, t[xor(acc & 255, x) + 1])), 4294967295) % 10000 b from distinct_features, tab),
+hashed as (select kind, r, b from features join buckets using (f)),
+counts as (
+  select b, count(*) filter (kind = 0) s, count(*) filter (kind = 1) t from hashed group by b),
+totals as (select count(*) filter (kind = 0) s_all, count(*) filter (kind = 1) t_all from hashed),
+gains as (
+  select b, cast(floor(1000 * ln((t + 1) * cast(s_all + 10000 as double) / ((s + 1) * cast(t_all + 10000 as double)))) as bigint) g
+  from counts, totals),
+sums as (select r, sum(g) g, count(*) n from hashed join gains using (b) where kind = 0 group by r),
+scored as (
+  select w.r, doc_id, len(w) n_words, coalesce(n, 0) n_features,
+    cast(case when n is null then 0 else (g - ((g % n) + n) % n) // n end as bigint) weight,
+    cast('0x' || substr(sha256('7:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) h
+  from words w left join sums s on s.r = w.r where kind = 0),
+noisy as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) as bigint) score from scored),
+ranked as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls first) place,
+    25 * count(*) filter (n_words >= 20) over () // 100 most from noisy)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= most then place end as rank from ranked
 """,
 }

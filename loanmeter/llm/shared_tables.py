@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     It is computed once however often it is used, and lost executors cost no recomputation.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+"""Folders of the tables that ``stored`` has written in this process, in order."""
+
+
+def stored_alone(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The stored result of ``build``. The tables that were stored on the way are deleted once it is written."""
+    before = len(_written)
+    result = stored(build(), name)
+    for path in _written[before:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _written[before:] = _written[-1:]
+    return result
+
+
 def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
     """Mark a table for broadcasting if a count finds it small enough.
 

@@ -1,4 +1,5 @@
 from collections import defaultdict
+from pathlib import Path
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -6,6 +7,7 @@ import public_tokenizers
 import tiktoken
 from loanmeter.llm.byte_bpe import read_ranks
 from loanmeter.llm.queries import RANKS
+from loanmeter.llm.shared_tables import shared_folder
 from pyspark.sql import functions as F
 from tests.llm import plain
 from tests.llm.test_mixing import targets
@@ -94,3 +96,13 @@ def test_stages_on_empty_tables(spark):
     for rows in ([], [(None, None, None, None, None)] * 2, [(1, "", "", "", 0)]):
         steps = run_stages(spark, spark.createDataFrame(rows, schema))
         assert all(after == [] for _, after in steps.values())
+
+
+def test_intermediate_tables_go_with_their_stage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert {x.name.split("-")[0] for x in set(folder.iterdir()) - before} == {name for name, _ in corpus_pipeline.STAGES}
+    assert out.count() > 10
