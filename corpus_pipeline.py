@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmeter.llm import byte_bpe, hyper_minhash, repetition, source_mixing, span_dedup
 from loanmeter.llm.queries import RANKS, table
-from loanmeter.llm.shared_tables import stored
+from loanmeter.llm.shared_tables import stored_alone
 
 NEAR = hyper_minhash.NearRules(shingle=5, percent=80, bands=24, least_estimate=0.57)
 """At the threshold a pair shares no band with a chance of 3e-6, and is below the least estimate with less than 1e-6."""
@@ -68,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        # A stage's own tables go when its result is written; nothing else reads them.
+        docs = stored_alone(spark, partial(stage, spark, docs, sf_dir), name)
     return docs
