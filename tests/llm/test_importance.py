@@ -66,7 +66,7 @@ def test_odd_rows(spark, odd):
     found = op.importance(docs, wanted).select("doc_id", "n_features", "weight", "score", "rank")
     assert sorted(map(tuple, found.collect()), key=str) == sorted(plain_importance(rows, target), key=str)
     drawn = op.drawn(docs, wanted)
-    assert drawn.columns == docs.columns and drawn.count() == found.where("rank is not null").count() > 10
+    assert drawn.columns == docs.columns and drawn.count() == found.where("rank is not null").count() > 4
 
 
 def test_empty_tables(spark, odd):

@@ -63,7 +63,7 @@ def test_dictionaries_of_few_long_texts(spark):
     assert sum(len(r.piece.encode()) for r in pieces) <= 3 * (3000 + 500)
     found = zstd_language.learn_dictionaries(train, rules)
     assert found.keys() == {"en", "de", "fr"} and all(0 < len(x) <= 3000 for x in found.values())
-    docs = spark.createDataFrame([(1, "\u00bd \u00b2 \u2460"), (2, "\u00e9"), (3, "the of and in to the"), (4, "der die und das")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "\u00bd \u00b2 \u2460"), (2, "\u00e9"), (3, "the and of to in the and of to in the and of"), (4, "der und die das der und die das")], "doc_id long, text string")
     guess = {r.doc_id: r.lang_pred for r in zstd_language.identify(docs, found).collect()}
     assert guess[1] == "und" and guess[2] != "und" and (guess[3], guess[4]) == ("en", "de")
 
