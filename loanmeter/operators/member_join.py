@@ -13,7 +13,9 @@ Payments, the side with most rows per member, have few distinct points: equal on
 count before they are shuffled, and unfolded after the last join. So the shuffle, the sort and
 the row groups a join keeps in memory stay small, even for members with millions of payments.
 
-Hot members are cut into cells (``hot_members``). The same joins serve them and all others.
+Hot members are cut into cells (``hot_members``). The same joins serve them and all others. Where there are hot
+members, what was joined is folded once more and dealt evenly to all tasks before it is unfolded: the output of one member
+may be the product of its payments and loans.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmeter.operators.hot_members import CELL, KEY, HotMembers, cut_side, fold, unfold
+from loanmeter.operators.hot_members import CELL, KEY, HotMembers, cut_side, fold, unfold, unfold_evenly
 
 PAID = "paid_member"
 ROWS = "rows"
@@ -69,7 +71,7 @@ def join_members(
     joined = _join(cut, on, bool(hot))
     if whole:
         joined = joined.withColumn(ROWS, F.coalesce(ROWS, F.lit(1)))
-    result = unfold(finished(joined), ROWS)
+    result = (unfold_evenly if hot else unfold)(finished(joined), ROWS)
     if whole:
         nobody = _null_members(sides["defaulters"], joined.drop(ROWS))
         result = result.unionByName(finished(nobody))

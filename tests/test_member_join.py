@@ -7,6 +7,7 @@ from itertools import product
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from loanmeter import ScoreTables, score_members
 from loanmeter.operators.hot_members import HotPolicy, cut_side, find_hot_members, fold, hot_table, member_rows, unfold
@@ -252,3 +253,19 @@ def test_hot_members_take_the_same_plan(spark, tmp_path, plain_plans):
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"(?<!InMemory)Relation \[", plan)) == len(SIDES) + 1
     assert found(joined) == expected(data)
+
+
+def test_output_of_a_hot_member_is_dealt_to_all_tasks(spark, tmp_path):
+    """Few rows are joined, many come out: no task makes most of them."""
+    n = {"payments": 2000, "customers": 1, "defaulters": 1, "loans": 1000, "accounts": 1}
+    extra = {
+        "payments": "100.0D funded_amount_investor, float(100) total_payment_recorded, float(10) installment, float(10) last_payment_amount",
+        "customers": "'a' first_name, 'b' last_name, 'c' state, 'd' country",
+        "defaulters": "0 defaulters_2yrs, 0 public_records, 0 public_records_bankruptcies, 0 enquiries_6mnths, 'N' hardship_flag",
+        "loans": "id * 1.0D funded_amount, 'Current' loan_status",
+        "accounts": "'A' grade, 'A1' sub_grade, 'OWN' home_ownership, float(1e6) total_high_credit_limit",
+    }
+    tables = {name: spark.sql(f"select 'h' member_id, {extra[name]} from range({n[name]})") for name in n}
+    scores = score_members(ScoreTables(**tables), policy=HotPolicy(most_rows=500, most_output=5_000, max_cells=64))
+    made = [r["count"] for r in scores.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 2_000_000 and max(made) < 1_000_000
