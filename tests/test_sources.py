@@ -194,3 +194,12 @@ def test_a_bad_date_is_parsed_anew_from_the_landing(spark, tmp_path):
     # Days landed before the column existed are read as well.
     land_snapshot(read_raw(spark, spec, str(tmp_path / "in.csv")), landed, "2024-01-02")
     assert reparse_snapshot(spark, spec, landed, "2024-01-02").count() == read_snapshot(spark, spec, landed, "2024-01-02").count() == 5
+
+
+def test_snapshots_and_cleaned_files_are_zstd(spark, tmp_path):
+    loans = spark.createDataFrame([("1", "2", "3")], "loan_id string, mem_id string, acc_id string")
+    land_snapshot(loans, str(tmp_path / "landing"), "2024-05-01")
+    append_clean(loans, str(tmp_path / "plain"))
+    append_clean(loans.withColumnRenamed("mem_id", "member_id"), str(tmp_path / "members"))
+    for pattern in ("landing/*/*.parquet", "plain/*.parquet", "members/*.parquet"):
+        assert {x.name.endswith(".zstd.parquet") for x in tmp_path.glob(pattern)} == {True}
