@@ -44,3 +44,20 @@ def test_text_stays_text_and_columns_stay(spark):
     texts = {r.doc_id: r.text for r in found.where("doc_id in (0, 501, 502)").collect()}
     assert texts[0] is None and texts[502] == ""
     assert without_repeats(docs.limit(0), rules).count() == 0
+
+
+@pytest.mark.parametrize("most_blocks", [10_000, 2])
+def test_texts_are_shuffled_once(spark, most_blocks):
+    """They are read for the anchors and for one shuffle, also with keys whose strings are counted one by one."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = documents()
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(rows, schema).mapInArrow(counted, schema)
+    remaining_bytes(docs, SpanRules(length=20, reach=8, most_blocks=most_blocks)).collect()
+    assert read.value == 2 * len(rows)
